@@ -107,24 +107,40 @@ def fanout_distribution(df: DataFrame, key: str, digits: int = 2, share: bool =
     return out.orderBy("rows_per_key")
 
 
+def quantile_columns(
+    df: DataFrame, exprs: Mapping[str, Column], probs: Sequence[float], accuracy: int | None
+) -> DataFrame:
+    """column_name and an array of quantiles that are values of the data.
+
+    Exact by default; with `accuracy` from a sketch, in the same pass as everything
+    else but with every task's sketch merged in one.
+    """
+    values = df.select(*[c.cast("double").alias(n) for n, c in exprs.items()])
+    if accuracy is not None:
+        one = values.agg(*[m.sketch(n, probs, accuracy).alias(n) for n in exprs])
+        lines = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("quantiles")) for n in exprs]
+        return one.select(F.inline(F.array(*lines)))
+    found = exact_quantiles(values, list(exprs), sorted(set(probs)), discrete=True)
+    # One value per wanted quantile, so the array is bounded by the argument list.
+    pairs = F.array_sort(F.collect_list(F.struct("prob", "value")))
+    return found.groupBy(F.col("metric").alias("column_name")).agg(
+        F.transform(pairs, lambda x: x["value"]).alias("quantiles")
+    )
+
+
 def numeric_summary(
     df: DataFrame,
     columns: Mapping[str, Column] | Sequence[str],
     digits: int = 2,
     rules: Mapping[str, Column] | None = None,
-    accuracy: int = m.ACCURACY,
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """column_name, min_val, max_val, avg_val, quartiles (5 values) in one pass, plus rule counts."""
+    """column_name, min_val, max_val, avg_val, quartiles (5 values), plus rule counts."""
     exprs = dict(columns) if isinstance(columns, Mapping) else {c: F.col(c) for c in columns}
     aggs = []
     for i, c in enumerate(exprs.values()):
         v = c.cast("double")
-        aggs += [
-            F.min(v).alias(f"lo{i}"),
-            F.max(v).alias(f"hi{i}"),
-            F.round(F.avg(v), digits).alias(f"mean{i}"),
-            m.sketch(v, m.n_tiles(4), accuracy).alias(f"q{i}"),
-        ]
+        aggs += [F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"), F.round(F.avg(v), digits).alias(f"mean{i}")]
     rules = rules or {}
     one = df.agg(*aggs, *[F.count_if(p).alias(n) for n, p in rules.items()])
     lines = [
@@ -133,11 +149,14 @@ def numeric_summary(
             F.col(f"lo{i}").alias("min_val"),
             F.col(f"hi{i}").alias("max_val"),
             F.col(f"mean{i}").alias("avg_val"),
-            F.col(f"q{i}").alias("quartiles"),
         )
         for i, name in enumerate(exprs)
     ]
-    return one.select(F.inline(F.array(*lines)), *rules)
+    base = one.select(F.inline(F.array(*lines)), *rules)
+    quartiles = quantile_columns(df, exprs, m.n_tiles(4), accuracy)
+    # Both sides have one row per named column.
+    joined = base.join(F.broadcast(quartiles), "column_name", "left")
+    return joined.select("column_name", "min_val", "max_val", "avg_val", F.col("quantiles").alias("quartiles"), *rules)
 
 
 def value_range(
@@ -152,14 +171,14 @@ def value_range(
 
 
 def duration_distribution(
-    df: DataFrame, start: str, end: str, unit: str = "hour", accuracy: int = m.ACCURACY
+    df: DataFrame, start: str, end: str, unit: str = "hour", accuracy: int | None = None
 ) -> DataFrame:
     """n, min, median, 95th percentile and max of the elapsed units where both ends exist."""
     known = df.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
     d = elapsed(end, start, unit)
-    q = m.sketch(d, [0.5, 0.95], accuracy)
-    return known.agg(
-        m.rows().alias("n"), F.min(d).alias("min_val"), q[0].alias("p50"), q[1].alias("p95"), F.max(d).alias("max_val")
+    q = quantile_columns(known, {"d": d}, [0.5, 0.95], accuracy).select("quantiles").scalar()
+    return known.agg(m.rows().alias("n"), F.min(d).alias("min_val"), F.max(d).alias("max_val")).select(
+        "n", "min_val", q[0].cast("bigint").alias("p50"), q[1].cast("bigint").alias("p95"), "max_val"
     )
 
 
@@ -344,7 +363,9 @@ def join_inspect(
     return out.orderBy(*order) if order else out
 
 
-def distribution_summary(df: DataFrame, metrics: Sequence[str], fence: float = 1.5) -> DataFrame:
+def distribution_summary(
+    df: DataFrame, metrics: Sequence[str], fence: float = 1.5, digits: int = 2
+) -> DataFrame:
     """metric, n, mean, median, sd, iqr, skew, kurtosis, fences and % outside them.
 
     Skewness and kurtosis are bias-corrected, quantiles are interpolated and exact.
@@ -373,7 +394,9 @@ def distribution_summary(df: DataFrame, metrics: Sequence[str], fence: float = 1
         F.skewness("value").alias("_g1"),
         F.kurtosis("value").alias("_g2"),
         m.percent(
-            F.count_if((F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))), m.rows()
+            F.count_if((F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))),
+            m.rows(),
+            digits,
         ).alias("pct_outside_fence"),
     )
     return out.select(

@@ -127,12 +127,18 @@ def pick_one_per_key(
 
 
 def exact_quantiles(
-    df: DataFrame, metrics: Sequence[str], probs: Sequence[float], buckets: int | None = None
+    df: DataFrame,
+    metrics: Sequence[str],
+    probs: Sequence[float],
+    discrete: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Interpolated quantiles per metric: metric, n, prob, value.
+    """Quantiles per metric column: metric, n, prob, value (as double).
 
-    Works on the (metric, value) counts, so repeated values collapse before they are
-    ordered, and reads off the two values around each rank.
+    Interpolated, or with `discrete` the smallest value that at least that share of
+    the rows do not exceed. Works on the (metric, value) counts, so repeated values
+    collapse before they are ordered, and reads off the values at the wanted ranks:
+    no task sees more than its range of distinct values.
     """
     long = df.unpivot([], [F.col(m).cast("double").alias(m) for m in metrics], "metric", "value")
     counts = long.filter(F.col("value").isNotNull()).groupBy("metric", "value").agg(rows().alias("c"))
@@ -140,33 +146,42 @@ def exact_quantiles(
     spans = counts.groupBy("metric").agg(F.sum("c").alias("n"))
     # One row per metric, hence bounded by the argument list.
     first = spans.select(
-        F.col("metric").alias("_m"), "n",
+        F.col("metric").alias("_m"),
+        "n",
         (F.sum("n").over(W.orderBy("metric")) - F.col("n")).alias("_start"),
     )
     ranked = placed.join(F.broadcast(first), F.col("metric") == F.col("_m"), "inner").select(
-        "metric", "value", "n",
+        "metric",
+        "value",
+        "n",
         (F.col("upto") - F.col("_start")).alias("hi"),
         (F.col("upto") - F.col("c") - F.col("_start")).alias("lo"),
     )
-    left_rank = lambda p: F.floor(p * (F.col("n") - 1))
-    right_rank = lambda p: F.least(left_rank(p) + 1, F.col("n") - 1)
-    holds = lambda r: (F.col("lo") <= r) & (r < F.col("hi"))
+    n = F.col("n")
+
+    def left_rank(p: Column) -> Column:
+        if discrete:
+            return F.greatest(F.ceil(F.round(p * n, 6)) - 1, F.lit(0))
+        return F.floor(p * (n - 1))
+
+    def right_rank(p: Column) -> Column:
+        return left_rank(p) if discrete else F.least(left_rank(p) + 1, n - 1)
+
+    def holds(rank: Column) -> Column:
+        return (F.col("lo") <= rank) & (rank < F.col("hi"))
+
     # Only the one or two values around each wanted rank leave this step.
     wanted = F.filter(
         F.array(*[F.lit(float(p)) for p in probs]), lambda p: holds(left_rank(p)) | holds(right_rank(p))
     )
+    prob = F.col("prob")
     hits = (
         ranked.withColumn("_probs", wanted)
         .filter(F.size("_probs") > 0)
         .select("metric", "value", "n", "lo", "hi", F.explode("_probs").alias("prob"))
-        .withColumn("_left", left_rank(F.col("prob")))
-        .withColumn("_right", right_rank(F.col("prob")))
-        .withColumn("_frac", F.col("prob") * (F.col("n") - 1) - F.col("_left"))
     )
-    part = F.when(holds(F.col("_left")), F.col("value") * (1 - F.col("_frac"))).otherwise(0.0) + F.when(
-        holds(F.col("_right")), F.col("value") * F.col("_frac")
+    frac = F.lit(0.0) if discrete else prob * (n - 1) - left_rank(prob)
+    part = F.when(holds(left_rank(prob)), F.col("value") * (1 - frac)).otherwise(0.0) + F.when(
+        holds(right_rank(prob)), F.col("value") * frac
     ).otherwise(0.0)
-    return (
-        hits.groupBy("metric", "n", "prob")
-        .agg(F.sum(part).alias("value"))
-    )
+    return hits.groupBy("metric", "n", "prob").agg(F.sum(part).alias("value"))

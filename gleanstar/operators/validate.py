@@ -14,7 +14,7 @@ from gleanstar.operators.audit import (
     orphan_count,
 )
 from gleanstar.operators.joins import as_list, hot_keys, lookup_join
-from gleanstar.operators.profile import distinct_count, table_profile
+from gleanstar.operators.profile import distinct_count, quantile_columns, table_profile
 
 
 def row_parity(source: DataFrame, target: DataFrame, source_key: str | None = None) -> DataFrame:
@@ -239,13 +239,12 @@ def grain_null_reconcile(
     )
 
 
-def distribution_sanity(df: DataFrame, column: str, accuracy: int = m.ACCURACY) -> DataFrame:
+def distribution_sanity(df: DataFrame, column: str, accuracy: int | None = None) -> DataFrame:
+    """NULLs, range and quartiles of a numeric column."""
+    q = quantile_columns(df, {column: F.col(column)}, m.n_tiles(4), accuracy).select("quantiles").scalar()
     return df.agg(
-        m.null_count(column).alias("nulls"),
-        F.min(column).alias("min_val"),
-        F.max(column).alias("max_val"),
-        m.sketch(column, m.n_tiles(4), accuracy).alias("quartiles"),
-    )
+        m.null_count(column).alias("nulls"), F.min(column).alias("min_val"), F.max(column).alias("max_val")
+    ).withColumn("quartiles", q)
 
 
 def repeated_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
