@@ -709,6 +709,6 @@ def _(t):
 def _(t):
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
     items = t.src("lineitem").select(*order)
-    return global_row_number(items, order, "row_no").select(
+    return global_row_number(items, order, "row_no", hold=False).select(
         "row_no", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
     )

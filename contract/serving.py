@@ -51,7 +51,7 @@ def _(t):
     """select row_number() over (order by c_name) as row_no, c_name, c_custkey from customer""",
 )
 def _(t):
-    return global_row_number(t.src("customer").select("c_name", "c_custkey"), "c_name", "row_no")
+    return global_row_number(t.src("customer").select("c_name", "c_custkey"), "c_name", "row_no", hold=False)
 
 
 @query(

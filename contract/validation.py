@@ -473,7 +473,8 @@ def _(t):
         candidates,
         "order_id",
         ["order_id", "order_item_key", "chosen_score", "candidate_score", "review_id"],
-        [F.col("order_id"), F.col("order_item_key"), F.col("review_id")],
+        [F.col("order_item_key")],
+        [F.col("review_id")],
         20,
     )
 

@@ -12,7 +12,7 @@ from gleanstar.functions.text import col
 from gleanstar.functions.timeparts import elapsed, year_month
 from gleanstar.operators.joins import as_list, hot_keys, lookup_join
 from gleanstar.operators.listing import PAGE_SIZE, paged_values
-from gleanstar.operators.ranking import exact_quantiles, global_row_number
+from gleanstar.operators.ranking import exact_quantiles
 
 Normaliser = Callable[[str], Column]
 
@@ -432,7 +432,3 @@ def complete_period_trim(df: DataFrame, ts: str, first: str, last: str) -> DataF
     lo = F.to_timestamp(F.lit(f"{first}-01"))
     hi = F.add_months(F.to_date(F.lit(f"{last}-01")), 1).cast("timestamp")
     return df.filter((col(ts) >= lo) & (col(ts) < hi))
-
-
-def numbered_rows(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
-    return global_row_number(df, order, name)

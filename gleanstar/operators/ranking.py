@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from gleanstar.functions.measures import rows
 from gleanstar.operators.joins import as_list
+from gleanstar.session import stage
 
 _SAMPLES_PER_BUCKET = 16
 
@@ -60,15 +61,19 @@ def running_total(
     name: str,
     weight: Column | None = None,
     buckets: int | None = None,
+    hold: bool = True,
 ) -> DataFrame:
     """Inclusive running total of `weight` (default 1) over the whole table in key order.
 
     `order` must be unique. One shuffle by key range; the totals before each range
-    are one row per range.
+    are one row per range. The table is read four times, three of them for its key
+    alone, so by default it is stored first: whatever joins or aggregates built it run
+    once. Pass hold=False for a table that is a plain scan.
     """
     order = as_list(order)
     weight = F.lit(1).cast("bigint") if weight is None else weight
     buckets = buckets or default_buckets(df)
+    df = stage(df, name) if hold else df
     placed = range_bucket(df.withColumn("_w", weight), order, buckets)
     totals = placed.groupBy("_bucket").agg(F.sum("_w").alias("_sum"))
     # At most `buckets` rows, so this window and the broadcast are bounded.
@@ -86,10 +91,10 @@ def running_total(
 
 
 def global_row_number(
-    df: DataFrame, order: str | Sequence[str], name: str, buckets: int | None = None
+    df: DataFrame, order: str | Sequence[str], name: str, buckets: int | None = None, hold: bool = True
 ) -> DataFrame:
     """Dense 1..n in the order of a unique key, NULLs first; first column of the result."""
-    return running_total(df, order, name, buckets=buckets).select(name, *df.columns)
+    return running_total(df, order, name, buckets=buckets, hold=hold).select(name, *df.columns)
 
 
 def small_row_number(df: DataFrame, order: str | Sequence[str], name: str) -> DataFrame:
@@ -98,10 +103,16 @@ def small_row_number(df: DataFrame, order: str | Sequence[str], name: str) -> Da
 
 
 def ntile_tier(
-    df: DataFrame, order: str | Sequence[str], tiers: int, name: str, buckets: int | None = None
+    df: DataFrame,
+    order: str | Sequence[str],
+    tiers: int,
+    name: str,
+    buckets: int | None = None,
+    hold: bool = True,
 ) -> DataFrame:
     """Balanced tiers 1..tiers; the first n mod tiers tiers hold one row more."""
-    numbered = running_total(df, order, "_i", buckets=buckets)
+    df = stage(df, name) if hold else df
+    numbered = running_total(df, order, "_i", buckets=buckets, hold=False)
     n = df.select(rows().alias("n")).scalar()
     k = F.lit(tiers).cast("bigint")
     i = F.col("_i") - 1
@@ -142,7 +153,10 @@ def exact_quantiles(
     """
     long = df.unpivot([], [F.col(m).cast("double").alias(m) for m in metrics], "metric", "value")
     counts = long.filter(F.col("value").isNotNull()).groupBy("metric", "value").agg(rows().alias("c"))
-    placed = running_total(counts, ["metric", "value"], "upto", weight=F.col("c"), buckets=buckets)
+    counts = stage(counts, "value_counts")
+    placed = running_total(
+        counts, ["metric", "value"], "upto", weight=F.col("c"), buckets=buckets, hold=False
+    )
     spans = counts.groupBy("metric").agg(F.sum("c").alias("n"))
     # One row per metric, hence bounded by the argument list.
     first = spans.select(

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from gleanstar.functions import measures as m
 from gleanstar.functions.text import malformed_code
@@ -13,7 +14,7 @@ from gleanstar.operators.audit import (
     duplicate_combinations,
     orphan_count,
 )
-from gleanstar.operators.joins import as_list, hot_keys, lookup_join
+from gleanstar.operators.joins import as_list
 from gleanstar.operators.profile import distinct_count, quantile_columns, table_profile
 
 
@@ -217,13 +218,25 @@ def resolution_spot_check(
     candidates: DataFrame,
     key: str,
     columns: Sequence[str],
-    order: Sequence[Column],
+    chosen_order: Sequence[Column],
+    candidate_order: Sequence[Column],
     k: int,
 ) -> DataFrame:
-    """Top k (chosen, candidate) pairs for keys with several candidates, to compare by eye."""
+    """Top k (chosen, candidate) pairs for keys with several candidates, to compare by eye.
+
+    Sorted by key, chosen row, candidate. The top k pairs lie within the k smallest
+    keys and, per key, within the first k rows of each side, so only those are paired.
+    """
     several = candidates.groupBy(key).agg(m.rows().alias("_n")).filter(F.col("_n") > 1).select(key)
-    kept = lookup_join(candidates, several, key, "semi", hot=hot_keys(candidates, key))
-    return chosen.join(kept, key).select(*columns).orderBy(*order).limit(k)
+    shared = several.join(chosen.select(key).distinct(), key, "left_semi")
+    smallest = F.broadcast(shared.orderBy(key).limit(k))
+
+    def first(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
+        return df.join(smallest, key, "left_semi").withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
+
+    pairs = first(chosen, chosen_order).join(first(candidates, candidate_order), key)
+    return pairs.orderBy(key, *chosen_order, *candidate_order).limit(k).select(*columns)
 
 
 def grain_null_reconcile(
