@@ -127,4 +127,4 @@ ROWS = {
 
 
 def raw_tables(spark):
-    return {name: spark.createDataFrame(ROWS[name], schema) for name, schema in RAW_SCHEMAS.items()}
+    return {name: spark.createDataFrame(ROWS[name], schema).coalesce(1) for name, schema in RAW_SCHEMAS.items()}
