@@ -592,15 +592,16 @@ def _summary_sql(source: str, metrics: list[str]) -> str:
     parts = " union all ".join(
         f"""select '{c}' as metric, count(v) as n, avg(v) as mean, quantile_cont(v, 0.5) as median,
         stddev_samp(v) as sd, any_value(q3 - q1) as iqr, skewness(v) as skew, kurtosis(v) as kurtosis,
-        any_value(q1 - 1.5 * (q3 - q1)) as lower_fence, any_value(q3 + 1.5 * (q3 - q1)) as upper_fence,
-        count(*) filter (v < q1 - 1.5 * (q3 - q1) or v > q3 + 1.5 * (q3 - q1)) / count(v) * 100 as pct_outside_fence
+        any_value(lo) as lower_fence, any_value(hi) as upper_fence,
+        count(*) filter (v < lo or v > hi) / count(v) * 100 as pct_outside_fence
         from (select cast({c} as double) as v from {source}),
-          (select quantile_cont(cast({c} as double), 0.25) as q1, quantile_cont(cast({c} as double), 0.75) as q3
-           from {source})"""
+          (select *, round(q1 - 1.5 * (q3 - q1), 9) as lo, round(q3 + 1.5 * (q3 - q1), 9) as hi
+           from (select quantile_cont(cast({c} as double), 0.25) as q1, quantile_cont(cast({c} as double), 0.75) as q3
+             from {source}))"""
         for c in metrics
     )
     rounded = ", ".join(
-        f"round({c}, 4) as {c}"
+        f"round({c}, 6) as {c}"
         for c in "mean median sd iqr skew kurtosis lower_fence upper_fence pct_outside_fence".split()
     )
     return f"select metric, n, {rounded} from ({parts})"
@@ -608,14 +609,14 @@ def _summary_sql(source: str, metrics: list[str]) -> str:
 
 def _rounded(df):
     return df.select(
-        "metric", "n", *[F.round(c, 4).alias(c) for c in df.columns if c not in ("metric", "n")]
+        "metric", "n", *[F.round(c, 6).alias(c) for c in df.columns if c not in ("metric", "n")]
     )
 
 
 @query(
     "distribution_summary",
     _summary_sql(
-        """(select sum(price) as order_value, sum(freight_value) as freight_total,
+        """(select round(sum(price), 4) as order_value, round(sum(freight_value), 4) as freight_total,
         any_value(date_sub('day', order_purchase_timestamp, order_delivered_customer_date)) as delivery_days,
         any_value(datediff('day', cast(order_estimated_delivery_date as date), cast(order_delivered_customer_date as date)))
           as delay_days
@@ -626,7 +627,7 @@ def _rounded(df):
 )
 def _(t):
     totals = t.kept("order_items").groupBy("order_id").agg(
-        F.sum("price").alias("order_value"), F.sum("freight_value").alias("freight_total")
+        F.round(F.sum("price"), 4).alias("order_value"), F.round(F.sum("freight_value"), 4).alias("freight_total")
     )
     done = t.kept("orders").filter(
         (F.col("order_status") == "delivered") & F.col("order_delivered_customer_date").isNotNull()
@@ -638,14 +639,14 @@ def _(t):
         tp.calendar_days("order_delivered_customer_date", "order_estimated_delivery_date").alias("delay_days"),
     )
     names = ["order_value", "freight_total", "delivery_days", "delay_days"]
-    return _rounded(p.distribution_summary(per_order, names, digits=4))
+    return _rounded(p.distribution_summary(per_order, names, digits=6))
 
 
 @query("distribution_summary_items", _summary_sql("lineitem", ["l_extendedprice", "l_quantity"]))
 def _(t):
     return _rounded(
         p.distribution_summary(
-            t.src("lineitem").select("l_extendedprice", "l_quantity"), ["l_extendedprice", "l_quantity"], digits=4
+            t.src("lineitem").select("l_extendedprice", "l_quantity"), ["l_extendedprice", "l_quantity"], digits=6
         )
     )
 
@@ -660,7 +661,7 @@ def _(t):
     ),
 )
 def _(t):
-    out = exact_quantiles(t.src("events").select("value"), ["value"], [0.05, 0.5, 0.95])
+    out = exact_quantiles(t.src("events").select("value"), ["value"], [0.05, 0.5, 0.95], buckets=16)
     return out.withColumn("value", F.round("value", 6))
 
 
@@ -709,6 +710,6 @@ def _(t):
 def _(t):
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
     items = t.src("lineitem").select(*order)
-    return global_row_number(items, order, "row_no", hold=False).select(
+    return global_row_number(items, order, "row_no", buckets=16).select(
         "row_no", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
     )

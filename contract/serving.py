@@ -51,7 +51,7 @@ def _(t):
     """select row_number() over (order by c_name) as row_no, c_name, c_custkey from customer""",
 )
 def _(t):
-    return global_row_number(t.src("customer").select("c_name", "c_custkey"), "c_name", "row_no", hold=False)
+    return global_row_number(t.src("customer").select("c_name", "c_custkey"), "c_name", "row_no", buckets=16)
 
 
 @query(
@@ -86,7 +86,7 @@ def _(t):
 )
 def _(t):
     volume = t.src("lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
-    return ntile_tier(volume, ["n", "l_partkey"], 7, "tier")
+    return ntile_tier(volume, ["n", "l_partkey"], 7, "tier", buckets=16)
 
 
 @query(

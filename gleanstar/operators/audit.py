@@ -212,7 +212,7 @@ def zero_value_audit(
         .filter(F.col("_zeros") > 0)
         .drop("_zeros")
     )
-    found = lookup_join(pairs.drop("_v", "_zero"), stats, key, "inner", hot=hot_keys(pairs, key))
+    found = lookup_join(pairs.drop("_v", "_zero"), stats, key, "inner", hot=hot_keys(df, key))
     pages = paged_values(found, [key, "rows", "total"], kind, "rows", "_kinds", copies="_n", page_size=page_size)
     return pages.select(key, "page", "rows", "total", F.concat_ws(", ", "_kinds").alias("kinds_used"))
 

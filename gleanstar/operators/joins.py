@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanstar.functions.measures import rows
+from gleanstar.session import estimated_bytes
 
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so fewer than
 # HOT_SHARE keys can be hot: this bounds everything broadcast below.
@@ -20,10 +21,23 @@ def as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+# A smaller (stored) table cannot hold a key that would overload a task.
+HOT_BYTES = 64 * 1024 * 1024
+
+
 def hot_keys(
-    df: DataFrame, keys: str | Sequence[str], share: int = HOT_SHARE, floor: int = HOT_FLOOR
-) -> DataFrame:
-    """Keys that hold more than 1/share of the rows (fewer than `share` of them)."""
+    df: DataFrame, keys: str | Sequence[str], share: int = HOT_SHARE, floor: int | None = None
+) -> DataFrame | None:
+    """Keys that hold more than 1/share of the rows (fewer than `share` of them).
+
+    None for a table of at most HOT_BYTES, unless a `floor` of rows is given. Call it on
+    a scan rather than on something derived: a key that is rare there stays rare in
+    whatever is aggregated or filtered from it.
+    """
+    if floor is None:
+        if estimated_bytes(df) <= HOT_BYTES:
+            return None
+        floor = HOT_FLOOR
     keys = as_list(keys)
     total = df.select(rows().alias("n")).scalar()
     counts = df.groupBy(*keys).agg(rows().alias("_n"))

@@ -252,15 +252,13 @@ def fd_violations(df: DataFrame, determinant: str, dependents: str | Sequence[st
 
 
 def fd_variants(
-    df: DataFrame, determinant: str, dependent: str, page_size: int = PAGE_SIZE, hot: bool = True
+    df: DataFrame, determinant: str, dependent: str, page_size: int = PAGE_SIZE
 ) -> DataFrame:
     """As `fd_violations`, with the sorted distinct values as pages of an array."""
     pairs = df.groupBy(determinant, dependent).agg(m.rows().alias("_n"))
     stats = _dependency_stats(pairs, determinant, dependent)
     values = pairs.filter(F.col(dependent).isNotNull() & F.col(determinant).isNotNull()).drop("_n")
-    found = lookup_join(
-        values, stats, determinant, "inner", hot=hot_keys(values, determinant) if hot else None
-    )
+    found = lookup_join(values, stats, determinant, "inner", hot=hot_keys(df, determinant))
     return paged_values(found, [determinant, "n_distinct", "rows"], dependent, "n_distinct", "variants", page_size=page_size)
 
 
@@ -315,7 +313,7 @@ def sequence_gap_lists(df: DataFrame, key: str, seq: str, page_size: int = PAGE_
     """As `sequence_gaps`, with the sorted sequence numbers as pages of an array."""
     stats = _gap_stats(df, key, seq, None)
     pairs = df.filter(F.col(seq).isNotNull()).groupBy(key, seq).agg(m.rows().alias("_n"))
-    found = lookup_join(pairs, stats, key, "inner", hot=hot_keys(pairs, key))
+    found = lookup_join(pairs, stats, key, "inner", hot=hot_keys(df, key))
     return paged_values(found, [key, "rows", "max_seq"], seq, "rows", "sequences", copies="_n", page_size=page_size)
 
 
@@ -380,8 +378,9 @@ def distribution_summary(
             ]
         )
         .withColumn("iqr", F.col("q3") - F.col("q1"))
-        .withColumn("lower_fence", F.col("q1") - fence * F.col("iqr"))
-        .withColumn("upper_fence", F.col("q3") + fence * F.col("iqr"))
+        # Rounded, so that a value equal to its fence does not fall outside by float noise.
+        .withColumn("lower_fence", F.round(F.col("q1") - fence * F.col("iqr"), 9))
+        .withColumn("upper_fence", F.round(F.col("q3") + fence * F.col("iqr"), 9))
     )
     long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in metrics], "metric", "value")
     # One row of quartiles per metric: bounded by the argument list.

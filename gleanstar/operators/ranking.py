@@ -1,4 +1,11 @@
-"""Global numbering, running totals, tiers and exact quantiles without a one-task sort."""
+"""Global numbering, running totals, tiers and exact quantiles without a one-task sort.
+
+The common step is `sorted_table`: the rows are range-partitioned by the key, sorted
+within each partition and stored, one file per partition. A row's global position is
+then the number of rows in earlier partitions plus its position in its own file, so
+numbering costs one shuffle and one write, and reading the result costs a scan. Because
+positions come from the stored files, a recomputed task cannot shift them.
+"""
 
 from __future__ import annotations
 
@@ -8,93 +15,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gleanstar.functions.measures import rows
+from gleanstar.functions.measures import any_true, rows
 from gleanstar.operators.joins import as_list
-from gleanstar.session import stage
-
-_SAMPLES_PER_BUCKET = 16
+from gleanstar.session import RANGE_BYTES, estimated_bytes, stage
 
 
 def default_buckets(df: DataFrame) -> int:
-    return 2 * max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    """One range per RANGE_BYTES, at most the session's number of shuffle partitions."""
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(most, 1 + estimated_bytes(df) // RANGE_BYTES))
 
 
-def _range_bounds(keyed: DataFrame, order: list[str], buckets: int) -> DataFrame:
-    """One row: an ascending array of about `buckets - 1` cut points of the sort key.
-
-    The cut points come from a fixed number of keys picked evenly by hash: the keys
-    fall into classes by hash and each class gives the key with the smallest hash.
-    They are a pure function of the data, so a recomputed task cuts identically,
-    and they only steer partitioning, never the result.
-    """
-    classes = buckets * _SAMPLES_PER_BUCKET
-    hashed = keyed.select(*order, F.xxhash64(*order).alias("_h"))
-    picked = hashed.groupBy(F.pmod("_h", F.lit(classes)).alias("_c")).agg(F.min("_h").alias("_h"))
-    sample = hashed.join(F.broadcast(picked.select("_h")), "_h", "left_semi")
-    ordered = sample.agg(F.array_sort(F.collect_set(F.struct(*order))).alias("a"))
-    size = F.size("a")
-    at = lambda i: F.floor(i * F.lit(buckets) / size)
-    return ordered.select(F.filter("a", lambda _, i: (i > 0) & (at(i) > at(i - 1))).alias("cuts"))
-
-
-def range_bucket(df: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Add `_bucket`: the index of the key range a row falls in, found by binary search."""
+def sorted_table(df: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """df stored in ascending key order (NULLs first), with `_part`, the number of the key
+    range, and `_pos`, the 0-based position within it."""
     order = as_list(order)
-    buckets = buckets or default_buckets(df)
-    cuts = _range_bounds(df.select(*order), order, buckets).scalar()
-    steps = [1 << i for i in reversed(range(buckets.bit_length()))]
-    keyed = df.withColumn("_cuts", cuts).withColumn("_key", F.struct(*order))
+    ranged = df.repartitionByRange(buckets or default_buckets(df), *order).sortWithinPartitions(*order)
+    stored = stage(ranged.withColumn("_part", F.spark_partition_id()), "sorted")
+    return stored.select("*", F.col("_metadata.row_index").alias("_pos"))
 
-    def descend(index: Column, step: Column) -> Column:
-        inside = index + step <= F.size("_cuts")
-        return F.when(
-            inside & (F.try_element_at(F.col("_cuts"), index + step) <= F.col("_key")), index + step
-        ).otherwise(index)
 
-    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), descend)
-    return keyed.withColumn("_bucket", found).drop("_cuts", "_key")
+def _before(table: DataFrame, weight: Column) -> DataFrame:
+    """Total weight in earlier ranges: one row per range, hence bounded."""
+    totals = table.groupBy("_part").agg(F.sum(weight).alias("_sum"))
+    return totals.select(
+        F.col("_part").alias("_p"), (F.sum("_sum").over(W.orderBy("_part")) - F.col("_sum")).alias("_before")
+    )
 
 
-def running_total(
-    df: DataFrame,
-    order: str | Sequence[str],
-    name: str,
-    weight: Column | None = None,
-    buckets: int | None = None,
-    hold: bool = True,
-) -> DataFrame:
-    """Inclusive running total of `weight` (default 1) over the whole table in key order.
-
-    `order` must be unique. One shuffle by key range; the totals before each range
-    are one row per range. The table is read four times, three of them for its key
-    alone, so by default it is stored first: whatever joins or aggregates built it run
-    once. Pass hold=False for a table that is a plain scan.
-    """
-    order = as_list(order)
-    weight = F.lit(1).cast("bigint") if weight is None else weight
-    buckets = buckets or default_buckets(df)
-    df = stage(df, name) if hold else df
-    placed = range_bucket(df.withColumn("_w", weight), order, buckets)
-    totals = placed.groupBy("_bucket").agg(F.sum("_w").alias("_sum"))
-    # At most `buckets` rows, so this window and the broadcast are bounded.
-    before = totals.select(
-        F.col("_bucket").alias("_b"),
-        (F.sum("_sum").over(W.orderBy("_bucket")) - F.col("_sum")).alias("_before"),
-    )
-    in_range = W.partitionBy("_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        placed.withColumn("_part", F.sum("_w").over(in_range))
-        .join(F.broadcast(before), F.col("_bucket") == F.col("_b"), "inner")
-        .withColumn(name, (F.col("_part") + F.col("_before")).cast("bigint"))
-        .drop("_w", "_part", "_b", "_before", "_bucket")
-    )
+def _add_before(table: DataFrame, weight: Column) -> DataFrame:
+    before = _before(table, weight)
+    return table.join(F.broadcast(before), F.col("_part") == F.col("_p"), "inner").drop("_p")
 
 
 def global_row_number(
-    df: DataFrame, order: str | Sequence[str], name: str, buckets: int | None = None, hold: bool = True
+    df: DataFrame, order: str | Sequence[str], name: str, buckets: int | None = None
 ) -> DataFrame:
     """Dense 1..n in the order of a unique key, NULLs first; first column of the result."""
-    return running_total(df, order, name, buckets=buckets, hold=hold).select(name, *df.columns)
+    table = _add_before(sorted_table(df, order, buckets), F.lit(1))
+    number = (F.col("_before") + F.col("_pos") + 1).cast("bigint")
+    return table.select(number.alias(name), *df.columns)
+
+
+def running_total(
+    df: DataFrame, order: str | Sequence[str], name: str, weight: str, buckets: int | None = None
+) -> DataFrame:
+    """Inclusive running total of `weight` over the whole table in the order of a unique key."""
+    order = as_list(order)
+    table = _add_before(sorted_table(df, order, buckets), F.col(weight))
+    in_range = W.partitionBy("_part").orderBy("_pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    total = (F.sum(weight).over(in_range) + F.col("_before")).cast("bigint")
+    return table.select(*df.columns, total.alias(name))
 
 
 def small_row_number(df: DataFrame, order: str | Sequence[str], name: str) -> DataFrame:
@@ -103,17 +74,11 @@ def small_row_number(df: DataFrame, order: str | Sequence[str], name: str) -> Da
 
 
 def ntile_tier(
-    df: DataFrame,
-    order: str | Sequence[str],
-    tiers: int,
-    name: str,
-    buckets: int | None = None,
-    hold: bool = True,
+    df: DataFrame, order: str | Sequence[str], tiers: int, name: str, buckets: int | None = None
 ) -> DataFrame:
     """Balanced tiers 1..tiers; the first n mod tiers tiers hold one row more."""
-    df = stage(df, name) if hold else df
-    numbered = running_total(df, order, "_i", buckets=buckets, hold=False)
-    n = df.select(rows().alias("n")).scalar()
+    numbered = global_row_number(df, order, "_i", buckets)
+    n = numbered.select(rows().alias("n")).scalar()
     k = F.lit(tiers).cast("bigint")
     i = F.col("_i") - 1
     base, extra = F.floor(n / k), n % k
@@ -121,7 +86,7 @@ def ntile_tier(
     tier = F.when(i < cut, F.floor(i / (base + 1))).otherwise(
         extra + F.floor((i - cut) / F.greatest(base, F.lit(1)))
     )
-    return numbered.withColumn(name, (tier + 1).cast("int")).drop("_i")
+    return numbered.select(*df.columns, (tier + 1).cast("int").alias(name))
 
 
 def pick_one_per_key(
@@ -153,49 +118,41 @@ def exact_quantiles(
     """
     long = df.unpivot([], [F.col(m).cast("double").alias(m) for m in metrics], "metric", "value")
     counts = long.filter(F.col("value").isNotNull()).groupBy("metric", "value").agg(rows().alias("c"))
-    counts = stage(counts, "value_counts")
-    placed = running_total(
-        counts, ["metric", "value"], "upto", weight=F.col("c"), buckets=buckets, hold=False
-    )
-    spans = counts.groupBy("metric").agg(F.sum("c").alias("n"))
+    placed = running_total(counts, ["metric", "value"], "upto", "c", buckets)
     # One row per metric, hence bounded by the argument list.
-    first = spans.select(
-        F.col("metric").alias("_m"),
-        "n",
-        (F.sum("n").over(W.orderBy("metric")) - F.col("n")).alias("_start"),
-    )
-    ranked = placed.join(F.broadcast(first), F.col("metric") == F.col("_m"), "inner").select(
-        "metric",
-        "value",
-        "n",
-        (F.col("upto") - F.col("_start")).alias("hi"),
-        (F.col("upto") - F.col("c") - F.col("_start")).alias("lo"),
-    )
-    n = F.col("n")
-
-    def left_rank(p: Column) -> Column:
+    spans = placed.groupBy(F.col("metric").alias("_m")).agg(F.sum("c").alias("n"))
+    first = spans.withColumn("_start", F.sum("n").over(W.orderBy("_m")) - F.col("n"))
+    ranks = []
+    for p in probs:
+        exact = F.lit(float(p)) * (F.col("n") if discrete else F.col("n") - 1)
         if discrete:
-            return F.greatest(F.ceil(F.round(p * n, 6)) - 1, F.lit(0))
-        return F.floor(p * (n - 1))
-
-    def right_rank(p: Column) -> Column:
-        return left_rank(p) if discrete else F.least(left_rank(p) + 1, n - 1)
+            left = F.greatest(F.ceil(F.round(exact, 6)) - 1, F.lit(0))
+            right, frac = left, F.lit(0.0)
+        else:
+            left = F.floor(exact)
+            right, frac = F.least(left + 1, F.col("n") - 1), exact - left
+        ranks.append(
+            F.struct(
+                F.lit(float(p)).alias("prob"),
+                (F.col("_start") + left).alias("left"),
+                (F.col("_start") + right).alias("right"),
+                frac.alias("frac"),
+            )
+        )
+    targets = first.select("_m", "n", *[r.alias(f"_t{i}") for i, r in enumerate(ranks)])
 
     def holds(rank: Column) -> Column:
-        return (F.col("lo") <= rank) & (rank < F.col("hi"))
-
-    # Only the one or two values around each wanted rank leave this step.
-    wanted = F.filter(
-        F.array(*[F.lit(float(p)) for p in probs]), lambda p: holds(left_rank(p)) | holds(right_rank(p))
-    )
-    prob = F.col("prob")
-    hits = (
-        ranked.withColumn("_probs", wanted)
-        .filter(F.size("_probs") > 0)
-        .select("metric", "value", "n", "lo", "hi", F.explode("_probs").alias("prob"))
-    )
-    frac = F.lit(0.0) if discrete else prob * (n - 1) - left_rank(prob)
-    part = F.when(holds(left_rank(prob)), F.col("value") * (1 - frac)).otherwise(0.0) + F.when(
-        holds(right_rank(prob)), F.col("value") * frac
+        return (F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto"))
+
+    def wanted(t: str) -> Column:
+        return holds(F.col(f"{t}.left")) | holds(F.col(f"{t}.right"))
+
+    joined = placed.join(F.broadcast(targets), F.col("metric") == F.col("_m"), "inner")
+    names = [f"_t{i}" for i in range(len(ranks))]
+    # Only the one or two values around each wanted rank pass this filter.
+    near = joined.filter(any_true(wanted(t) for t in names))
+    hits = near.select("metric", "value", "c", "upto", "n", F.explode(F.array(*names)).alias("t")).filter(wanted("t"))
+    part = F.when(holds(F.col("t.left")), F.col("value") * (1 - F.col("t.frac"))).otherwise(0.0) + F.when(
+        holds(F.col("t.right")), F.col("value") * F.col("t.frac")
     ).otherwise(0.0)
-    return hits.groupBy("metric", "n", "prob").agg(F.sum(part).alias("value"))
+    return hits.groupBy("metric", "n", F.col("t.prob").alias("prob")).agg(F.sum(part).alias("value"))

@@ -64,7 +64,7 @@ def seller_activity(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Per seller: distinct orders, orders found, first purchase time."""
     pairs = items.filter(F.col("seller_id").isNotNull()).select("seller_id", "order_id").distinct()
     when = orders.select("order_id", F.lit(True).alias("_known"), "order_purchase_timestamp")
-    timed = lookup_join(pairs, when, "order_id", "left", hot=hot_keys(pairs, "order_id"))
+    timed = lookup_join(pairs, when, "order_id", "left", hot=hot_keys(items, "order_id"))
     return timed.groupBy("seller_id").agg(
         F.count("order_id").alias("order_count"),
         F.count("_known").alias("known_orders"),

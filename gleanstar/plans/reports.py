@@ -13,6 +13,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from gleanstar.functions import measures as m
 from gleanstar.functions import text as tx
@@ -24,6 +25,7 @@ from gleanstar.operators import serve as g
 from gleanstar.operators import validate as v
 from gleanstar.operators.joins import hot_keys, lookup_join
 from gleanstar.plans import cleaning, star
+from gleanstar.session import stage
 
 Tables = Mapping[str, DataFrame]
 Report = dict[str, Callable[[], DataFrame]]
@@ -659,21 +661,28 @@ def customer_checks(clean: Tables, serving: Tables, focus: Focus = Focus()) -> R
     category = "first_purchase_category"
 
     def several_categories() -> DataFrame:
-        """First orders with items of several categories, next to the category chosen."""
+        """First orders with items of several categories, next to the category chosen.
+
+        Sorted by person, so only the first 30 such people and, for each, the first 30
+        items matter.
+        """
         i, d = clean["order_items"], clean["products"]
         lines = i.select("order_id", "order_item_id", "product_id", "price")
         bought = lookup_join(lines, _first_orders(clean), "order_id", "inner", hot=hot_keys(lines, "order_id"))
         named = lookup_join(
             bought, d.select("product_id", "product_category_name"), "product_id", "inner", hot=hot_keys(i, "product_id")
         )
+        named = stage(named.select(person, "price", "product_category_name"), "first_order_items")
         mixed = p.fd_violations(named, person, "product_category_name").select(person)
-        kept = lookup_join(named, mixed, person, "semi", hot=hot_keys(named, person))
-        chosen = c.select(person, F.col(category).alias("resolved_category"))
-        shown = lookup_join(kept, chosen, person, "inner", hot=hot_keys(kept, person))
+        few = F.broadcast(mixed.orderBy(person).limit(30))
+        order = [F.desc("price"), F.col("product_category_name")]
+        rank = F.row_number().over(W.partitionBy(person).orderBy(*order))
+        kept = named.join(few, person, "left_semi").withColumn("_rank", rank).filter(F.col("_rank") <= 30)
+        shown = kept.join(c.select(person, F.col(category).alias("resolved_category")), person)
         return (
-            shown.select(person, "price", "product_category_name", "resolved_category")
-            .orderBy(person, F.desc("price"), "product_category_name")
+            shown.orderBy(person, *order)
             .limit(30)
+            .select(person, "price", "product_category_name", "resolved_category")
         )
 
     def discrepancies() -> DataFrame:

@@ -60,3 +60,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), "staged", uuid.uuid4().hex, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Bytes (as stored) per sorted range, until there are as many ranges as shuffle partitions.
+RANGE_BYTES = 2 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate. It follows from the file sizes for a stored table
+    and errs high for joins."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

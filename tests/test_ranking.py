@@ -15,7 +15,7 @@ from gleanstar.operators.listing import paged_values
 @pytest.mark.parametrize("buckets", [1, 7, 64])
 def test_global_row_number_equals_the_window(spark, n, buckets):
     df = spark.range(n).selectExpr("id * 7919 % 1000 as a", "cast(id as string) as b")
-    got = r.global_row_number(df, ["a", "b"], "rn", buckets=buckets, hold=False)
+    got = r.global_row_number(df, ["a", "b"], "rn", buckets=buckets)
     want = df.select(F.row_number().over(W.orderBy("a", "b")).cast("bigint").alias("rn"), "a", "b")
     assert rows(got) == rows(want)
 
@@ -26,31 +26,39 @@ def test_global_row_number_with_nulls_and_one_dominant_prefix(spark):
     got = r.global_row_number(df, ["a", "b"], "rn", buckets=16)
     want = df.select(F.row_number().over(W.orderBy("a", "b")).cast("bigint").alias("rn"), "a", "b")
     assert rows(got) == rows(want)
-    sizes = r.range_bucket(df, ["a", "b"], 16).groupBy("_bucket").count().collect()
-    assert len(sizes) > 10 and max(s["count"] for s in sizes) < 900
+    sizes = r.sorted_table(df, ["a", "b"], 16).groupBy("_part").count().collect()
+    assert len(sizes) == 16 and max(s["count"] for s in sizes) < 600
 
 
-def test_global_row_number_has_no_single_task_sort(spark, no_auto_broadcast):
+def test_numbering_reads_the_stored_table_without_a_sort(spark):
     df = spark.range(1000).selectExpr("id as a", "id % 10 as b")
-    text = plan(r.global_row_number(df, ["a"], "rn", hold=False))
-    windows = [i for i, line in enumerate(text.splitlines()) if "Window [" in line]
-    # the window over all rows is partitioned by the range; the other one runs over range totals
-    over_rows = [text.splitlines()[i] for i in windows if "_w" in text.splitlines()[i]]
-    assert over_rows and all("_bucket" in line for line in over_rows)
+    text = plan(r.global_row_number(df, ["a"], "rn", buckets=8))
+    # the only window runs over the totals of the ranges
+    assert text.count("Window [") == 1 and "_sum" in text
+    assert "BroadcastHashJoin" in text and "FileScan parquet" in text
+
+
+def test_ranges_follow_the_size(spark, monkeypatch):
+    df = spark.range(500).selectExpr("id * 7919 % 1000 as a")
+    assert r.default_buckets(df) == 1
+    small = rows(r.global_row_number(df, "a", "rn"))
+    monkeypatch.setattr(r, "RANGE_BYTES", 100)
+    assert r.default_buckets(df) == 8
+    assert rows(r.global_row_number(df, "a", "rn")) == small
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 100])
 @pytest.mark.parametrize("k", [1, 3, 7])
 def test_ntile_equals_the_built_in(spark, n, k):
     df = spark.range(n).selectExpr("id % 4 as v", "id")
-    got = r.ntile_tier(df, ["v", "id"], k, "t", buckets=4, hold=False)
+    got = r.ntile_tier(df, ["v", "id"], k, "t", buckets=4)
     want = df.withColumn("t", F.ntile(k).over(W.orderBy("v", "id")))
     assert rows(got) == rows(want)
 
 
 def test_running_total_of_weights(spark):
     df = spark.createDataFrame([(3, 5), (1, 2), (2, 10)], "a int, w bigint")
-    assert rows(r.running_total(df, "a", "upto", F.col("w"), buckets=2), "a", "upto") == [(1, 2), (2, 12), (3, 17)]
+    assert rows(r.running_total(df, "a", "upto", "w", buckets=2), "a", "upto") == [(1, 2), (2, 12), (3, 17)]
 
 
 def test_exact_quantiles_against_python(spark):
@@ -121,6 +129,7 @@ def test_hot_keys_are_few_by_construction(spark):
     df = spark.range(1000).selectExpr("id % 10 as k")
     assert joins.hot_keys(df, "k", share=5, floor=0).count() == 0
     assert joins.hot_keys(df, "k", share=11, floor=0).count() == 10
+    assert joins.hot_keys(df, "k") is None
 
 
 def test_lookup_join_refuses_differing_key_types(spark):
