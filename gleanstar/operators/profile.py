@@ -20,10 +20,13 @@ Normaliser = Callable[[str], Column]
 def distinct_count(df: DataFrame, *columns: str) -> Column:
     """Exact count of distinct non-null values (or value tuples), as a scalar subquery.
 
-    One subquery per count reads only its own columns; several COUNT(DISTINCT) in one
-    aggregate would copy every row once per column instead.
+    Each count groups by its own columns and reads only those; several COUNT(DISTINCT)
+    in one aggregate would copy every row once per column instead.
     """
-    return df.select(F.count_distinct(*[F.col(c) for c in columns])).scalar()
+    values = df.select(*columns)
+    for c in columns:
+        values = values.filter(F.col(c).isNotNull())
+    return values.distinct().select(m.rows().alias("n")).scalar()
 
 
 def table_profile(

@@ -35,6 +35,9 @@ def build_session(app: str = "gleanstar", master: str | None = None, **options:
     return configure(builder.getOrCreate())
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for staged tables: `spark.checkpoint.dir` as the session has it.
 
@@ -43,11 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="gleanstar-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="gleanstar-")
+    return _local_dirs[context.applicationId]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -11,8 +11,7 @@ from gleanstar.operators import ranking as r
 from gleanstar.operators.listing import paged_values
 
 
-@pytest.mark.parametrize("n", [0, 1, 5, 1000])
-@pytest.mark.parametrize("buckets", [1, 7, 64])
+@pytest.mark.parametrize("n, buckets", [(0, 4), (1, 7), (5, 64), (1000, 1), (1000, 7)])
 def test_global_row_number_equals_the_window(spark, n, buckets):
     df = spark.range(n).selectExpr("id * 7919 % 1000 as a", "cast(id as string) as b")
     got = r.global_row_number(df, ["a", "b"], "rn", buckets=buckets)
@@ -47,8 +46,7 @@ def test_ranges_follow_the_size(spark, monkeypatch):
     assert rows(r.global_row_number(df, "a", "rn")) == small
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 100])
-@pytest.mark.parametrize("k", [1, 3, 7])
+@pytest.mark.parametrize("n, k", [(1, 3), (2, 7), (7, 3), (8, 3), (9, 7), (100, 7)])
 def test_ntile_equals_the_built_in(spark, n, k):
     df = spark.range(n).selectExpr("id % 4 as v", "id")
     got = r.ntile_tier(df, ["v", "id"], k, "t", buckets=4)
