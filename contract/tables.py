@@ -38,6 +38,10 @@ class Tables:
             self._stored[name] = stage(df, name)
         return self._stored[name]
 
+    def _dimension(self, name: str, df: DataFrame) -> DataFrame:
+        # Numbered tables already read from a stored sorted table.
+        return self._store(name, df) if name in ("dim_date", "data_quality_flags") else df
+
     def kept(self, name: str) -> DataFrame:
         return self._stored[name] if name in self._stored else self._store(name, self.clean(name))
 
@@ -45,9 +49,9 @@ class Tables:
         if name not in self._stored:
             cleans = {t: self.kept(t) for t in CLEANERS}
             if "dim_customer" not in self._stored:
-                build_dimensions(cleans, self._store)
+                self._stored |= build_dimensions(cleans, self._dimension)
             if name == "fact_order_item_fulfillment":
-                self._store(name, self.fact())
+                self._stored[name] = self.fact()
         return self._stored[name]
 
     def dims(self) -> dict[str, DataFrame]:
