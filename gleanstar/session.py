@@ -62,7 +62,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), "staged", uuid.uuid4().hex, name)
-    df.write.parquet(path)
+    # One file per task whatever the session says: row positions count within a file.
+    df.write.option("maxRecordsPerFile", 0).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
