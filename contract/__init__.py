@@ -5,6 +5,6 @@ from importlib import import_module
 
 def load():
     """Import every module that registers queries and return the registry."""
-    for name in ("profiling", "auditing", "cleaning", "serving", "validation"):
+    for name in ("profiling", "auditing", "cleaning", "serving", "validation", "storing"):
         import_module(f"contract.{name}")
     return import_module("contract.registry")

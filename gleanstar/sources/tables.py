@@ -7,12 +7,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gleanstar.sources.schemas import LAYERS, MULTILINE, RAW_SCHEMAS
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str | None = None, infer: bool = False, multiline: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType | None = None,
+    infer: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV with one header row. A given schema saves the extra pass that inference costs.
 
