@@ -37,7 +37,7 @@ def childless_rows(
 ) -> DataFrame:
     """Parent rows without any child."""
     kept = parent if predicate is None else parent.filter(predicate)
-    out = kept.join(child.select(key).distinct(), key, "left_anti")
+    out = lookup_join(kept, child.select(key).distinct(), key, "anti", hot=hot_keys(parent, key))
     return out.select(*columns) if columns else out
 
 
@@ -104,7 +104,7 @@ def not_in_null_aware(df: DataFrame, sub: DataFrame, key: str, sub_key: str | No
     listed = sub.select(F.col(sub_key or key).alias(key))
     nulls = listed.select(m.null_count(key)).scalar()
     size = listed.select(m.rows()).scalar()
-    out = df.join(listed.distinct(), key, "left_anti")
+    out = lookup_join(df, listed.distinct(), key, "anti", hot=hot_keys(df, key))
     return out.filter((nulls == 0) & (F.col(key).isNotNull() | (size == 0))).select(*df.columns)
 
 

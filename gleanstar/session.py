@@ -36,6 +36,7 @@ def build_session(app: str = "gleanstar", master: str | None = None, **options:
 
 
 _local_dirs: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -61,12 +62,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     for the readers, and gives the optimizer a measured size to plan joins with.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), "staged", uuid.uuid4().hex, name)
+    folder = os.path.join(shared_dir(spark), "staged", uuid.uuid4().hex)
+    path = os.path.join(folder, name)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(folder)
     # One file per task whatever the session says: row positions count within a file.
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Delete what this session has staged, once nothing reads it any more; returns the
+    number of tables deleted."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    folders = _staged.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = hadoop.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    return len(folders)
+
+
 # Bytes (as stored) per sorted range, until there are as many ranges as shuffle partitions.
 RANGE_BYTES = 2 * 1024 * 1024
 

@@ -1,5 +1,6 @@
 import csv
 import datetime as dt
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -82,6 +83,15 @@ def test_staged_tables_go_to_the_session_folder(spark):
     assert rows(session.stage(spark.range(5), "five")) == [(i,) for i in range(5)]
 
 
+def test_staged_tables_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(session, "_staged", {})
+    kept = session.stage(spark.range(3), "three")
+    (folder,) = session._staged[spark.sparkContext.applicationId]
+    assert kept.count() == 3 and os.path.isdir(folder)
+    assert session.drop_staged(spark) == 1 and not os.path.exists(folder)
+    assert session.drop_staged(spark) == 0
+
+
 class FakeSession:
     """A session without spark.checkpoint.dir."""
 
