@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_QUERIES = ("q_exact_dedup", "q_token_blocks", "q_chunk_bpe", "q_line_dedup", "q_ngram_join")
+_QUERIES = ("q_exact_dedup", "q_token_blocks", "q_chunk_bpe", "q_line_dedup", "q_ngram_join", "q_decontaminate")
 
 
 def load():
