@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,9 +14,18 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 16 * 1024 * 1024
 
 
-def configure_batches(df: DataFrame) -> DataFrame:
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def configure_batches(df: DataFrame) -> None:
+    """Bound Arrow batches, and let Python workers import this package from where the driver
+    has it (where it is installed or shipped otherwise, this changes nothing)."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    env = spark.sparkContext.environment
+    path = env.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in path:
+        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, path)])
 
 
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
