@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_QUERIES = ("q_exact_dedup", "q_token_blocks", "q_chunk_bpe", "q_line_dedup", "q_ngram_join", "q_decontaminate")
+_QUERIES = ("q_exact_dedup", "q_token_blocks", "q_chunk_bpe", "q_line_dedup", "q_ngram_join", "q_decontaminate", "q_language_id", "q_warc")
 
 
 def load():
