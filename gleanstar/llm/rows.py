@@ -102,16 +102,22 @@ def powers(base: int, n: int) -> np.ndarray:
     return out[:n]
 
 
-def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a block of texts, and word offsets per text.
+def hashed_words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a block of texts, and word offsets per text."""
+    hashes, starts, _ = placed_words(data, offsets, space)
+    return hashes, np.searchsorted(starts, offsets)
 
-    Words are runs of bytes other than [\\x20\\x09-\\x0D], with A-Z lower-cased. The hash
-    is a polynomial over the bytes, taken from one running sum of the block.
+
+def placed_words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a block of texts, with their starts and ends.
+
+    Words are runs of bytes other than those of `space`, by default [\\x20\\x09-\\x0D], with
+    A-Z lower-cased. The hash is a polynomial over the bytes, taken from one running sum of the block.
     """
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[data]
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    word = ~space[data]
     edge = np.zeros(n + 1, bool)
     inner = offsets[(offsets > 0) & (offsets < n)]
     first = word.copy()
@@ -124,7 +130,7 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     term = _VALUES[_FOLD[data]] * powers(_BASE, n)
     total = np.cumsum(term)
     h = (total[ends - 1] - total[starts] + term[starts]) * powers(_INVERSE, n)[starts]
-    return mix(h ^ (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
+    return mix(h ^ (ends - starts).astype(np.uint64)), starts, ends
 
 
 BLOCK = 1 << 21
