@@ -83,17 +83,19 @@ select c_custkey as customer_id,
   concat('n', cast(c_nationkey as string)) as customer_state
 from {customer}""",
     "x_geolocation": """
-select cast(c_nationkey * 1000 + c_custkey % 8 as int) as geolocation_zip_code_prefix,
+select cast(c_nationkey * 1000 + case when c_custkey % 8 = 7 then 500 else c_custkey % 8 end as int)
+    as geolocation_zip_code_prefix,
   case when c_custkey % 300 = 0 then cast(45 as double) when c_custkey % 290 = 0 then null
     else cast(-20 + c_custkey % 25 as double) end as geolocation_lat,
   cast(-60 + c_custkey % 20 as double) as geolocation_lng,
   case when c_custkey % 7 = 3 and c_nationkey % 2 = 0 then 'santo andré' when c_custkey % 7 = 1 then 'São Paulo'
     when c_custkey % 7 = 2 then 'SÃO PAULO ' else 'sao paulo' end as geolocation_city,
   concat('n', cast(c_nationkey as string)) as geolocation_state
-from {customer} where c_custkey % 8 <> 7""",
+from {customer}""",
     "x_category_translation": """
-select distinct lower(p_type) as string_field_0, concat(' ', p_type, ' Goods') as string_field_1
-from {part} where p_type <> 'PROMO'
+select distinct case when p_type = 'PROMO' then 'promo unlisted' else lower(p_type) end as string_field_0,
+  concat(' ', p_type, ' Goods') as string_field_1
+from {part}
 union all
 select distinct lower(p_brand) as string_field_0, concat(p_brand, ' Range') as string_field_1 from {part}""",
 }

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from contract.registry import query
 from gleanstar.operators import audit as a
+from gleanstar.operators.joins import full_outer, lookup_join
 from gleanstar.operators.profile import rule_counts, temporal_order_violations
 
 
@@ -206,6 +207,14 @@ def _(t):
     return a.future_dated(t.src("orders"), "o_orderdate", F.to_timestamp(F.lit("2000-01-01")))
 
 
+@query(
+    "future_dated_inside",
+    "select count(*) filter (o_orderdate > timestamp '1995-06-01') as future_dated from orders",
+)
+def _(t):
+    return a.future_dated(t.src("orders"), "o_orderdate", F.to_timestamp(F.lit("1995-06-01")))
+
+
 @query("future_dated_now", "select count(*) filter (o_orderdate > now()::timestamp) as future_dated from orders")
 def _(t):
     return a.future_dated(t.src("orders"), "o_orderdate")
@@ -311,3 +320,60 @@ def _(t):
         "payment_value",
         ["order_id", "order_status", "payment_type"],
     )
+
+
+_HOT = """select case when l_linenumber = 1 then 1 when l_linenumber = 2 then null else l_partkey end as k,
+    l_quantity as q from lineitem"""
+
+
+def _hot_items(t):
+    """One key and NULL hold a large share of the rows each."""
+    k = F.when(F.col("l_linenumber") == 1, F.lit(1)).when(F.col("l_linenumber") != 2, F.col("l_partkey"))
+    return t.src("lineitem").select(k.cast("bigint").alias("k"), F.col("l_quantity").alias("q"))
+
+
+def _orders_by_key(t):
+    return t.src("orders").select(F.col("o_orderkey").cast("bigint").alias("k"), "o_totalprice")
+
+
+def _per_key(df, priced):
+    price = F.round(F.max("o_totalprice"), 2).alias("price")
+    return df.groupBy("k").agg(F.count("*").alias("n"), F.round(F.sum("q"), 2).alias("q"), *([price] if priced else []))
+
+
+for _how, _join, _priced in (
+    ("left", "left join orders on k = o_orderkey", True),
+    ("inner", "join orders on k = o_orderkey", True),
+    ("semi", "semi join orders on k = o_orderkey", False),
+    ("anti", "anti join orders on k = o_orderkey", False),
+):
+
+    @query(
+        f"lookup_join_hot_{_how}",
+        f"""select k, count(*) as n, round(sum(q), 2) as q{", round(max(o_totalprice), 2) as price" if _priced else ""}
+        from ({_HOT}) {_join} group by k""",
+    )
+    def _(t, how=_how, priced=_priced):
+        return _per_key(lookup_join(_hot_items(t), _orders_by_key(t), "k", how), priced)
+
+
+@query(
+    "lookup_join_hot_null_safe",
+    f"""select k, count(*) as n, round(sum(q), 2) as q, round(max(o_totalprice), 2) as price from ({_HOT})
+    left join (select o_orderkey, o_totalprice from orders union all select null, 5) r on k is not distinct from o_orderkey
+    group by k""",
+)
+def _(t):
+    right = _orders_by_key(t)
+    extra = right.agg(F.lit(None).cast("bigint").alias("k"), F.lit(5).cast(right.schema["o_totalprice"].dataType).alias("o_totalprice"))
+    return _per_key(lookup_join(_hot_items(t), right.union(extra), "k", null_safe=True), True)
+
+
+@query(
+    "full_outer_hot",
+    f"""select coalesce(k, -1) as k, count(*) as n, round(sum(q), 2) as q, round(max(o_totalprice), 2) as price
+    from ({_HOT}) full join orders on k = o_orderkey group by all""",
+)
+def _(t):
+    both = full_outer(_hot_items(t), _orders_by_key(t).withColumnRenamed("k", "o"), "k", "o")
+    return _per_key(both.withColumn("k", F.coalesce("k", F.lit(-1))), True)

@@ -9,7 +9,6 @@ from gleanstar.functions import measures as m
 from gleanstar.functions import text as tx
 from gleanstar.functions import timeparts as tp
 from gleanstar.operators import profile as p
-from gleanstar.operators.joins import hot_keys
 from gleanstar.operators.ranking import exact_quantiles, global_row_number
 
 ORDER_TS = (
@@ -49,9 +48,59 @@ def _(t):
     )
 
 
-@query("table_profile_approx")
+@query(
+    "table_profile_approx",
+    """select count(*) as row_count, count(distinct l_orderkey) as distinct_l_orderkey, true as near_l_orderkey,
+    count(distinct l_partkey) as distinct_l_partkey, true as near_l_partkey,
+    count(distinct l_suppkey) as distinct_l_suppkey, true as near_l_suppkey from lineitem""",
+)
+def _(t):
+    """Estimates lie within three standard errors (0.05 each) of the exact counts."""
+    keys = ["l_orderkey", "l_partkey", "l_suppkey"]
+    near = p.table_profile(t.src("lineitem"), keys=keys, approx=True)
+    exact = p.table_profile(t.src("lineitem"), keys=keys)
+    near = near.withColumnsRenamed({f"distinct_{k}": f"near_{k}" for k in keys})
+    # one row each
+    both = exact.join(near, "row_count")
+    flags = {f"near_{k}": F.abs(F.col(f"near_{k}") - F.col(f"distinct_{k}")) <= 0.15 * F.col(f"distinct_{k}") for k in keys}
+    return both.withColumns(flags)
+
+
+def _ranks(df, column, quantiles, probs, accuracy):
+    """Whether each quantile's rank is as near as the sketch promises."""
+    found = df.filter(F.col(column).isNotNull())
+    n = found.select(F.count("*")).scalar()
+    at = [quantiles[i] for i in range(len(probs))]
+    below = [F.count_if(F.col(column) < q) for q in at]
+    upto = [F.count_if(F.col(column) <= q) for q in at]
+    slack = F.ceil(n / F.lit(accuracy)) + 1
+    return found.agg(
+        F.count("*").alias("n"),
+        *[((b <= F.lit(p) * n + slack) & (u >= F.lit(p) * n - slack)).alias(f"near_{i}") for i, (p, b, u) in enumerate(zip(probs, below, upto))],
+    )
+
+
+@query(
+    "numeric_summary_sketch",
+    """select count(l_extendedprice) as n, true as near_0, true as near_1, true as near_2, true as near_3, true as near_4
+    from lineitem""",
+)
 def _(t):
-    return p.table_profile(t.src("lineitem"), keys=["l_orderkey", "l_partkey", "l_suppkey"], approx=True)
+    """Ranks of the sketch's quartiles against the exact counts."""
+    items = t.src("lineitem")
+    found = p.numeric_summary(items, ["l_extendedprice"])
+    return _ranks(items, "l_extendedprice", found.select("quartiles").scalar(), [0, 0.25, 0.5, 0.75, 1], 10_000)
+
+
+@query(
+    "duration_distribution_sketch",
+    """select count(*) as n, count(*) > 0 as ordered from x_orders
+    where order_approved_at is not null and order_delivered_carrier_date is not null""",
+)
+def _(t):
+    out = p.duration_distribution(t.raw("orders"), "order_approved_at", "order_delivered_carrier_date", "hour")
+    inside = (F.col("min_val") <= F.col("p50")) & (F.col("p50") <= F.col("p95")) & (F.col("p95") <= F.col("max_val"))
+    return out.select("n", inside.alias("ordered"))
 
 
 @query(
@@ -179,7 +228,7 @@ def _(t):
       quantile_disc(freight_value, {Q5}) from x_order_items)""",
 )
 def _(t):
-    return five(p.numeric_summary(t.raw("order_items"), ["price", "freight_value"], 4))
+    return five(p.numeric_summary(t.raw("order_items"), ["price", "freight_value"], 4, accuracy=None))
 
 
 @query(
@@ -191,7 +240,7 @@ def _(t):
 )
 def _(t):
     v = F.col("payment_value")
-    out = five(p.numeric_summary(t.raw("order_payments"), ["payment_value"], 4, rules={"negative": v < 0, "zero": v == 0}))
+    out = five(p.numeric_summary(t.raw("order_payments"), ["payment_value"], 4, rules={"negative": v < 0, "zero": v == 0}, accuracy=None))
     return out.select("column_name", "min_val", "max_val", "avg_val", "q0", "q1", "q2", "q3", "q4", "negative", "zero")
 
 
@@ -203,7 +252,7 @@ def _(t):
       cast(quantile_disc(length(text), {Q5}) as double[]) as q from documents)""",
 )
 def _(t):
-    return five(p.numeric_summary(t.src("documents"), {"n_chars": F.char_length("text")}, 4))
+    return five(p.numeric_summary(t.src("documents"), {"n_chars": F.char_length("text")}, 4, accuracy=None))
 
 
 @query(
@@ -249,7 +298,7 @@ def _duration_sql(start: str, end: str, unit: str) -> str:
     _duration_sql("order_approved_at", "order_delivered_carrier_date", "hour"),
 )
 def _(t):
-    return p.duration_distribution(t.raw("orders"), "order_approved_at", "order_delivered_carrier_date", "hour")
+    return p.duration_distribution(t.raw("orders"), "order_approved_at", "order_delivered_carrier_date", "hour", None)
 
 
 @query(
@@ -258,7 +307,7 @@ def _(t):
 )
 def _(t):
     return p.duration_distribution(
-        t.raw("orders"), "order_delivered_carrier_date", "order_delivered_customer_date", "day"
+        t.raw("orders"), "order_delivered_carrier_date", "order_delivered_customer_date", "day", accuracy=None
     )
 
 
@@ -402,6 +451,20 @@ def _(t):
     return p.fd_variants(t.raw("geolocation"), "geolocation_zip_code_prefix", "geolocation_city")
 
 
+@query(
+    "fd_variants_long_lists",
+    """select o_orderstatus, n_distinct, rows, page, string_agg(cast(o_orderkey as varchar), ',' order by o_orderkey) as variants
+    from (select o_orderstatus, o_orderkey, count(*) over w as n_distinct, sum(n) over w as rows,
+        (row_number() over (partition by o_orderstatus order by o_orderkey) - 1) // 1000 as page
+        from (select o_orderstatus, o_orderkey, count(*) as n from orders group by all) window w as (partition by o_orderstatus))
+    group by o_orderstatus, n_distinct, rows, page""",
+)
+def _(t):
+    """Lists of thousands of values: pages follow each other in the list's order."""
+    found = p.fd_variants(t.src("orders"), "o_orderstatus", "o_orderkey")
+    return found.withColumn("rows", F.col("rows").cast("bigint"))
+
+
 @query(
     "fd_variants_by_city",
     """select geolocation_city, count(distinct geolocation_state) as n_distinct, count(*) as rows,
@@ -554,7 +617,7 @@ def _(t):
 def _(t):
     items = t.kept("order_items").select("order_id", "order_item_id", "product_id", "price")
     month = t.kept("orders").filter(tp.in_month("order_purchase_timestamp", "1998-10"))
-    return p.semi_lookup(items, month, "order_id", hot=hot_keys(items, "order_id"))
+    return p.semi_lookup(items, month, "order_id")
 
 
 @query(
@@ -583,7 +646,6 @@ def _(t):
         F.col("shipping_limit_date") >= F.to_timestamp(F.lit("2001-08-02")),
         ["order_id", "order_item_id", "seller_id", "shipping_limit_date", "order_status", "order_purchase_timestamp"],
         [F.desc("shipping_limit_date"), F.col("order_id"), F.col("order_item_id")],
-        hot=hot_keys(items, "order_id"),
     )
 
 
@@ -661,7 +723,7 @@ def _(t):
     ),
 )
 def _(t):
-    out = exact_quantiles(t.src("events").select("value"), ["value"], [0.05, 0.5, 0.95], buckets=16)
+    out = exact_quantiles(t.src("events").select("value"), ["value"], [0.05, 0.5, 0.95])
     return out.withColumn("value", F.round("value", 6))
 
 
@@ -710,6 +772,6 @@ def _(t):
 def _(t):
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
     items = t.src("lineitem").select(*order)
-    return global_row_number(items, order, "row_no", buckets=16).select(
+    return global_row_number(items, order, "row_no").select(
         "row_no", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
     )

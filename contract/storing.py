@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contract.registry import query
 from gleanstar.operators.profile import freq_distribution
-from gleanstar.session import shared_dir
+from gleanstar.session import staging_folder
 from gleanstar.sources import tables as src
 
 
 def _folder(t) -> str:
-    return os.path.join(shared_dir(t.spark), "staged", uuid.uuid4().hex)
+    return staging_folder(t.spark)
 
 
 def _as_csv(df: DataFrame, path: str) -> str:
@@ -59,14 +58,14 @@ def _(t):
 
 @query(
     "table_store_replace",
-    "select c_custkey, c_name, c_acctbal from customer where c_acctbal > 0",
+    "select c_custkey, upper(c_name) as c_name, c_acctbal from customer",
 )
 def _(t):
     store = src.Warehouse(t.spark, _folder(t))
     store.create_namespaces()
     first = store.save("raw", "customer", t.src("customer").select("c_custkey", "c_name", "c_acctbal"))
     store.save("clean", "customer", first)
-    store.save("clean", "customer", first.filter(F.col("c_acctbal") > 0))
+    store.save("clean", "customer", first.withColumn("c_name", F.upper("c_name")))
     return store.read("clean", "customer")
 
 

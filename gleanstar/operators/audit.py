@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanstar.functions import measures as m
 from gleanstar.functions.text import col
-from gleanstar.operators.joins import as_list, full_outer, hot_keys, lookup_join, unmatched_counts
+from gleanstar.operators.joins import as_list, full_outer, lookup_join, unmatched_counts
 from gleanstar.operators.listing import PAGE_SIZE, paged_values
 from gleanstar.operators.profile import distinct_count
 
@@ -37,7 +37,7 @@ def childless_rows(
 ) -> DataFrame:
     """Parent rows without any child."""
     kept = parent if predicate is None else parent.filter(predicate)
-    out = lookup_join(kept, child.select(key).distinct(), key, "anti", hot=hot_keys(parent, key))
+    out = lookup_join(kept, child.select(key).distinct(), key, "anti")
     return out.select(*columns) if columns else out
 
 
@@ -104,7 +104,7 @@ def not_in_null_aware(df: DataFrame, sub: DataFrame, key: str, sub_key: str | No
     listed = sub.select(F.col(sub_key or key).alias(key))
     nulls = listed.select(m.null_count(key)).scalar()
     size = listed.select(m.rows()).scalar()
-    out = lookup_join(df, listed.distinct(), key, "anti", hot=hot_keys(df, key))
+    out = lookup_join(df, listed.distinct(), key, "anti")
     return out.filter((nulls == 0) & (F.col(key).isNotNull() | (size == 0))).select(*df.columns)
 
 
@@ -185,7 +185,7 @@ def outer_compare(
     either = F.coalesce(left_pred, F.lit(False)) | F.coalesce(right_pred, F.lit(False))
     a = left.select(left_key, *row_id).withColumn(right_key, F.col(left_key)).filter(either).drop(right_key)
     b = right.select(right_key).withColumn(left_key, F.col(right_key)).filter(either).drop(left_key)
-    both = full_outer(a, b, left_key, right_key, hot=hot_keys(a, left_key)).filter(either)
+    both = full_outer(a, b, left_key, right_key).filter(either)
     return both.select(
         F.col(left_key).alias("left_side"),
         F.char_length(left_key).alias("left_length"),
@@ -212,8 +212,8 @@ def zero_value_audit(
         .filter(F.col("_zeros") > 0)
         .drop("_zeros")
     )
-    found = lookup_join(pairs.drop("_v", "_zero"), stats, key, "inner", hot=hot_keys(df, key))
-    pages = paged_values(found, [key, "rows", "total"], kind, "rows", "_kinds", copies="_n", page_size=page_size)
+    found = lookup_join(pairs.drop("_v", "_zero"), stats, key, "inner")
+    pages = paged_values(found, [key, "rows", "total"], kind, "_kinds", copies="_n", page_size=page_size)
     return pages.select(key, "page", "rows", "total", F.concat_ws(", ", "_kinds").alias("kinds_used"))
 
 
@@ -222,7 +222,7 @@ def zero_value_parents(
 ) -> DataFrame:
     """The zero-valued rows with attributes of their parent."""
     zero = df.filter(F.col(value) == 0)
-    return lookup_join(zero, parent, key, how, hot=hot_keys(zero, key)).select(*columns)
+    return lookup_join(zero, parent, key, how).select(*columns)
 
 
 def count_by_rule(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanstar.functions import measures as m
 from gleanstar.functions.text import folded, lower_trimmed, padded_code, trimmed, upper_trimmed
-from gleanstar.operators.joins import hot_keys, lookup_join
+from gleanstar.operators.joins import lookup_join
 
 # Misspelt or over-specified city names and the names they stand for.
 CITY_CORRECTIONS = [
@@ -89,7 +89,7 @@ def impute_group_median(
         .agg(F.percentile_approx(column, 0.5, accuracy).alias("_median"))
     )
     marked = df.withColumn(flag, F.col(column) == 0).withColumn("_group", F.when(F.col(flag), F.col(group)))
-    joined = lookup_join(marked, medians, "_group", "left", hot=hot_keys(marked, "_group"))
+    joined = lookup_join(marked, medians, "_group", "left")
     value = F.when(F.col(flag), F.coalesce(F.col("_median"), F.col(column))).otherwise(F.col(column))
     return joined.withColumn(column, value).select(*df.columns, flag)
 
@@ -132,7 +132,7 @@ def multi_value_flag(
     with a NULL key get `missing` (default NULL).
     """
     per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(m.any_true(m.varies(c) for c in columns).alias(flag))
-    out = lookup_join(df, per_key, key, "left", hot=hot_keys(df, key))
+    out = lookup_join(df, per_key, key, "left")
     if missing is not None:
         out = out.withColumn(flag, F.coalesce(F.col(flag), missing))
     return out.select(*df.columns, flag)
@@ -145,7 +145,7 @@ def ambiguity_flag(df: DataFrame, key: str, column: str, flag: str) -> DataFrame
 def missing_sequence_start(df: DataFrame, key: str, seq: str, flag: str) -> DataFrame:
     """The smallest sequence number of the row's key exceeds 1 (NULL keys form one group)."""
     first = df.groupBy(key).agg((F.min(seq) > 1).alias(flag))
-    out = lookup_join(df, first, key, "left", hot=hot_keys(df, key), null_safe=True)
+    out = lookup_join(df, first, key, "left", null_safe=True)
     return out.select(*df.columns, flag)
 
 

@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins and counts that stay balanced when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
@@ -8,119 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanstar.functions.measures import rows
-from gleanstar.session import estimated_bytes
-
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so fewer than
-# HOT_SHARE keys can be hot: this bounds everything broadcast below.
-HOT_SHARE = 4096
-# Fewer rows than this under one key never hurt a task.
-HOT_FLOOR = 500_000
 
 
 def as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-# A smaller (stored) table cannot hold a key that would overload a task.
-HOT_BYTES = 64 * 1024 * 1024
-
-
-def hot_keys(
-    df: DataFrame, keys: str | Sequence[str], share: int = HOT_SHARE, floor: int | None = None
-) -> DataFrame | None:
-    """Keys that hold more than 1/share of the rows (fewer than `share` of them).
-
-    None for a table of at most HOT_BYTES, unless a `floor` of rows is given. Call it on
-    a scan rather than on something derived: a key that is rare there stays rare in
-    whatever is aggregated or filtered from it.
-    """
-    if floor is None:
-        if estimated_bytes(df) <= HOT_BYTES:
-            return None
-        floor = HOT_FLOOR
-    keys = as_list(keys)
-    total = df.select(rows().alias("n")).scalar()
-    counts = df.groupBy(*keys).agg(rows().alias("_n"))
-    limit = F.greatest(F.lit(floor), F.floor(total / F.lit(share)))
-    return counts.filter(F.col("_n") > limit).select(*keys)
-
-
 def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: str | Sequence[str],
-    how: str = "left",
-    hot: DataFrame | None = None,
-    null_safe: bool = False,
+    left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:
     """Equi join of many rows with a table that has one row per key.
 
-    `hot` names the keys that would overload a single task (see `hot_keys`). Their
-    few right-hand rows are broadcast; the left rows that carry them are spread by a
-    hash of the whole row in the shuffle that serves all other keys. The left side
-    is read once, and rows with a NULL key are spread the same way.
+    One plan at every size: a shuffle join whose left side AQE splits where a key (or NULL)
+    holds too much of it, by the session's limits on partition bytes; `configure` lets it
+    do so also where a later step then shuffles again. Rows that are equal split like others.
 
-    how: "left", "inner", "semi" or "anti".
+    how: "left", "inner", "semi" or "anti". Columns: keys, rest of left, rest of right.
     """
     keys = as_list(keys)
     if how not in ("left", "inner", "semi", "anti"):
         raise ValueError(f"unsupported join type {how!r}")
     spark_how = {"semi": "left_semi", "anti": "left_anti"}.get(how, how)
-
-    def same(a: Column, b: Column) -> Column:
-        return a.eqNullSafe(b) if null_safe else a == b
-
-    if hot is None:
-        if not null_safe:
-            return left.join(right, keys, spark_how)
-        r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-        cond = _all(same(left[k], r[f"_r_{k}"]) for k in keys)
-        return left.join(r, cond, spark_how).drop(*[f"_r_{k}" for k in keys])
-
-    for k in keys:
-        if left.schema[k].dataType != right.schema[k].dataType:
-            raise TypeError(f"key {k!r} must have the same type on both sides")
-    # Rows of ordinary keys carry a class that follows from the key; spread rows carry
-    # a class no right-hand row has, so they only serve to balance the shuffle.
-    home = F.pmod(F.xxhash64(*keys), F.lit(2))
-    payload = [] if how in ("semi", "anti") else [c for c in right.columns if c not in keys]
-    found = right.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys],
-        F.struct(F.lit(True).alias("_found"), *payload).alias("_cold"),
-        home.alias("_r_salt"),
-    )
-    if how in ("semi", "anti"):
-        found = found.distinct()
-    # Hot keys with their right-hand row, or without one: fewer than HOT_SHARE rows.
-    h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-    hot_found = found.join(
-        F.broadcast(h), _all(same(F.col(f"_r_{k}"), F.col(f"_h_{k}")) for k in keys), "inner"
-    ).select(*[F.col(f"_h_{k}").alias(f"_g_{k}") for k in keys], F.col("_cold").alias("_hot"))
-    marker = h.join(
-        F.broadcast(hot_found), _all(F.col(f"_h_{k}").eqNullSafe(F.col(f"_g_{k}")) for k in keys), "left"
-    ).select(*[f"_h_{k}" for k in keys], "_hot", F.lit(True).alias("_is_hot"))
-
-    marked = left.join(
-        F.broadcast(marker), _all(same(F.col(k), F.col(f"_h_{k}")) for k in keys), "left"
-    )
-    spread = F.coalesce(F.col("_is_hot"), F.lit(False))
     if not null_safe:
-        spread = spread | _any(F.col(k).isNull() for k in keys)
-    salted = marked.withColumn(
-        "_salt",
-        F.when(spread, F.pmod(F.xxhash64(*left.columns), F.lit(1 << 30)) + 2).otherwise(home),
-    )
-    cond = _all(same(F.col(k), F.col(f"_r_{k}")) for k in keys) & (F.col("_salt") == F.col("_r_salt"))
-    joined = salted.join(found, cond, "left")
-    row = F.coalesce(F.col("_hot"), F.col("_cold"))
-    out = joined.withColumn("_row", row)
-    hit = F.col("_row._found").isNotNull()
-    if how in ("inner", "semi"):
-        out = out.filter(hit)
-    elif how == "anti":
-        out = out.filter(~hit)
+        return left.join(right, keys, spark_how)
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = _all(left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys)
     rest = [c for c in left.columns if c not in keys]
-    return out.select(*keys, *rest, *[F.col(f"_row.{c}").alias(c) for c in payload])
+    out = left.join(r, cond, spark_how).drop(*[f"_r_{k}" for k in keys])
+    return out.select(*keys, *rest, *[c for c in out.columns if c not in left.columns])
 
 
 def _all(conditions) -> Column:
@@ -130,13 +45,6 @@ def _all(conditions) -> Column:
     return out
 
 
-def _any(conditions) -> Column:
-    out = None
-    for c in conditions:
-        out = c if out is None else out | c
-    return out
-
-
 def key_counts(df: DataFrame, keys: str | Sequence[str], name: str = "_n") -> DataFrame:
     """Rows per key. Combines before the shuffle, so a hot key costs one row per task."""
     return df.groupBy(*as_list(keys)).agg(rows().alias(name))
@@ -159,19 +67,14 @@ def unmatched_counts(
     return key_counts(df, [*group, key], name).join(ref_keys, key, "left_anti")
 
 
-def full_outer(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: DataFrame | None = None
-) -> DataFrame:
+def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Full outer equi join against a table with one row per key.
 
     Built from a left join and the unmatched right rows, because only the left join
     can be split when one key dominates.
     """
     r = right.withColumn("_k", F.col(right_key))
-    matched = lookup_join(
-        left.withColumn("_k", F.col(left_key)), r, "_k", "left",
-        hot=None if hot is None else hot.select(F.col(left_key).alias("_k")),
-    ).drop("_k")
+    matched = lookup_join(left.withColumn("_k", F.col(left_key)), r, "_k", "left").drop("_k")
     left_keys = left.select(F.col(left_key).alias("_k")).distinct()
     only_right = r.join(left_keys, "_k", "left_anti").drop("_k")
     return matched.unionByName(only_right, allowMissingColumns=True)

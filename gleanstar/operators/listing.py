@@ -1,4 +1,4 @@
-"""Lists of values per key, split into pages so that no key builds one huge row."""
+"""Lists of values per key, in pages of consecutive values, so no key builds one huge row."""
 
 from __future__ import annotations
 
@@ -7,36 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Expected values per page; a key with more of them yields several rows.
+from gleanstar.operators.ranking import running_total
+
+# Values per page, at every size of the table.
 PAGE_SIZE = 1000
 
 
 def paged_values(
-    pairs: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    size: str,
-    name: str,
-    copies: str | None = None,
-    page_size: int = PAGE_SIZE,
+    pairs: DataFrame, keys: Sequence[str], value: str, name: str, copies: str | None = None, page_size: int = PAGE_SIZE
 ) -> DataFrame:
-    """keys + page + sorted array `name`.
+    """keys + page + array `name`: the key's sorted list, cut into pages of `page_size` values.
 
-    `pairs` holds one row per (keys, value), `size` is the column with the number of
-    values the key has in all. Keys up to `page_size` values give one row (page 0),
-    which is then the complete sorted list; a larger key is split over pages by hash,
-    so all values are kept while no task holds more than a page. With `copies` a
-    value is repeated that many times.
+    `pairs` holds one row per (keys, value) without NULLs; with `copies` a value is repeated
+    that many times. Pages count from 0 and follow each other, so the pages of a key, one
+    after another, are its whole sorted list. Positions come from a running total over
+    the range-sorted pairs, so neither a key nor its list is ever sorted in one task.
     """
-    pages = F.ceil(F.col(size) / F.lit(page_size))
-    if copies is None:
-        chunked = pairs.withColumn("_chunk", F.lit(0).cast("bigint")).withColumn("_m", F.lit(1))
-    else:
-        last = F.ceil(F.col(copies) / F.lit(page_size)) - 1
-        chunked = pairs.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn(
-            "_m", F.least(F.lit(page_size), F.col(copies) - F.col("_chunk") * page_size).cast("int")
-        )
-    placed = chunked.withColumn("page", F.pmod(F.xxhash64(value, "_chunk"), F.greatest(pages, F.lit(1))))
-    return placed.groupBy(*keys, "page").agg(
-        F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col(value), F.col("_m"))))).alias(name)
-    )
+    weight = F.lit(1) if copies is None else F.col(copies)
+    placed = running_total(pairs.withColumn("_m", weight.cast("bigint")), [*keys, value], "_upto", "_m")
+    first = placed.groupBy(*keys).agg(F.min(F.col("_upto") - F.col("_m")).alias("_first"))
+    inside = placed.join(first, list(keys)).withColumn("_to", F.col("_upto") - F.col("_first"))
+    inside = inside.withColumn("_from", F.col("_to") - F.col("_m"))
+    size = F.lit(page_size).cast("bigint")
+    pages = F.sequence(F.floor(F.col("_from") / size), F.floor((F.col("_to") - 1) / size))
+    cut = inside.withColumn("page", F.explode(pages))
+    here = F.least("_to", (F.col("page") + 1) * size) - F.greatest("_from", F.col("page") * size)
+    each = F.array_repeat(F.col(value), here.cast("int"))
+    return cut.groupBy(*keys, "page").agg(F.sort_array(F.flatten(F.collect_list(each))).alias(name))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gleanstar.functions import measures as m
 from gleanstar.functions.text import col
 from gleanstar.functions.timeparts import elapsed, year_month
-from gleanstar.operators.joins import as_list, hot_keys, lookup_join
+from gleanstar.operators.joins import as_list, lookup_join
 from gleanstar.operators.listing import PAGE_SIZE, paged_values
 from gleanstar.operators.ranking import exact_quantiles
 
@@ -35,7 +35,7 @@ def table_profile(
     nulls: Sequence[str] = (),
     approx: bool = False,
 ) -> DataFrame:
-    """One row: row_count, distinct_<key> per key, null_<column> per column."""
+    """One row: row_count, distinct_<key> per key (estimated with `approx`), null_<column> per column."""
     base = df.agg(m.rows().alias("row_count"), *[m.null_count(c).alias(f"null_{c}") for c in nulls])
     distinct = {}
     for key in keys:
@@ -136,9 +136,12 @@ def numeric_summary(
     columns: Mapping[str, Column] | Sequence[str],
     digits: int = 2,
     rules: Mapping[str, Column] | None = None,
-    accuracy: int | None = None,
+    accuracy: int | None = m.ACCURACY,
 ) -> DataFrame:
-    """column_name, min_val, max_val, avg_val, quartiles (5 values), plus rule counts."""
+    """column_name, min_val, max_val, avg_val, quartiles (5 values), plus rule counts.
+
+    Quartiles come from a sketch (one pass, rank error of 1/accuracy), or exact with
+    accuracy=None, which stores the sorted distinct values when it is called."""
     exprs = dict(columns) if isinstance(columns, Mapping) else {c: F.col(c) for c in columns}
     aggs = []
     for i, c in enumerate(exprs.values()):
@@ -174,11 +177,17 @@ def value_range(
 
 
 def duration_distribution(
-    df: DataFrame, start: str, end: str, unit: str = "hour", accuracy: int | None = None
+    df: DataFrame, start: str, end: str, unit: str = "hour", accuracy: int | None = m.ACCURACY
 ) -> DataFrame:
-    """n, min, median, 95th percentile and max of the elapsed units where both ends exist."""
+    """n, min, median, 95th percentile and max of the elapsed units where both ends exist;
+    quantiles from a sketch, or exact with accuracy=None."""
     known = df.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
     d = elapsed(end, start, unit)
+    if accuracy is not None:
+        q = m.sketch(d, [0.5, 0.95], accuracy)
+        one = known.agg(m.rows().alias("n"), F.min(d).alias("min_val"), F.max(d).alias("max_val"), q.alias("q"))
+        p50, p95 = (F.get("q", F.lit(i)).cast("bigint") for i in (0, 1))
+        return one.select("n", "min_val", p50.alias("p50"), p95.alias("p95"), "max_val")
     q = quantile_columns(known, {"d": d}, [0.5, 0.95], accuracy).select("quantiles").scalar()
     return known.agg(m.rows().alias("n"), F.min(d).alias("min_val"), F.max(d).alias("max_val")).select(
         "n", "min_val", q[0].cast("bigint").alias("p50"), q[1].cast("bigint").alias("p95"), "max_val"
@@ -250,7 +259,10 @@ def fd_violations(df: DataFrame, determinant: str, dependents: str | Sequence[st
     if len(deps) == 1:
         pairs = df.groupBy(determinant, deps[0]).agg(m.rows().alias("_n"))
         return _dependency_stats(pairs, determinant, deps[0])
-    counts = df.groupBy(determinant).agg(*[F.count_distinct(d).alias(f"n_{d}") for d in deps])
+    # (determinant, column, value) once, then one count per column: no row is copied per count
+    long = df.select(determinant, F.inline(F.array(*[F.struct(F.lit(d).alias("_c"), F.col(d).cast("string").alias("_v")) for d in deps])))
+    values = long.filter(F.col("_v").isNotNull()).distinct()
+    counts = values.groupBy(determinant).agg(*[F.count_if(F.col("_c") == d).alias(f"n_{d}") for d in deps])
     return counts.filter(m.any_true(F.col(f"n_{d}") > 1 for d in deps))
 
 
@@ -261,14 +273,18 @@ def fd_variants(
     pairs = df.groupBy(determinant, dependent).agg(m.rows().alias("_n"))
     stats = _dependency_stats(pairs, determinant, dependent)
     values = pairs.filter(F.col(dependent).isNotNull() & F.col(determinant).isNotNull()).drop("_n")
-    found = lookup_join(values, stats, determinant, "inner", hot=hot_keys(df, determinant))
-    return paged_values(found, [determinant, "n_distinct", "rows"], dependent, "n_distinct", "variants", page_size=page_size)
+    found = lookup_join(values, stats, determinant, "inner")
+    return paged_values(found, [determinant, "n_distinct", "rows"], dependent, "variants", page_size=page_size)
 
 
 def normalization_effect(df: DataFrame, column: str, normaliser: Normaliser) -> DataFrame:
-    """Distinct values before and after normalising, both from the distinct raw values."""
-    raw = df.select(column).distinct()
-    return raw.agg(F.count(column).alias("original"), F.count_distinct(normaliser(column)).alias("normalized"))
+    """Distinct values before and after normalising; only 256-bit digests are shuffled."""
+
+    def digest(c: Column) -> Column:
+        return F.unhex(F.sha2(c.cast("string").cast("binary"), 256))
+
+    raw = df.select(digest(F.col(column)).alias("_raw"), digest(normaliser(column)).alias("_norm")).distinct()
+    return raw.agg(F.count("_raw").alias("original"), F.count_distinct("_norm").alias("normalized"))
 
 
 def normalization_variants(
@@ -278,8 +294,8 @@ def normalization_variants(
     pairs = df.groupBy(column).agg(m.rows().alias("_n")).withColumn("normalized", normaliser(column))
     stats = _dependency_stats(pairs, "normalized", column)
     values = pairs.filter(F.col(column).isNotNull()).drop("_n")
-    found = lookup_join(values, stats, "normalized", "inner", hot=hot_keys(values, "normalized"))
-    return paged_values(found, ["normalized", "n_distinct", "rows"], column, "n_distinct", "variants", page_size=page_size)
+    found = lookup_join(values, stats, "normalized", "inner")
+    return paged_values(found, ["normalized", "n_distinct", "rows"], column, "variants", page_size=page_size)
 
 
 def normalization_reduction(df: DataFrame, key: str, column: str, normaliser: Normaliser) -> DataFrame:
@@ -316,8 +332,8 @@ def sequence_gap_lists(df: DataFrame, key: str, seq: str, page_size: int = PAGE_
     """As `sequence_gaps`, with the sorted sequence numbers as pages of an array."""
     stats = _gap_stats(df, key, seq, None)
     pairs = df.filter(F.col(seq).isNotNull()).groupBy(key, seq).agg(m.rows().alias("_n"))
-    found = lookup_join(pairs, stats, key, "inner", hot=hot_keys(df, key))
-    return paged_values(found, [key, "rows", "max_seq"], seq, "rows", "sequences", copies="_n", page_size=page_size)
+    found = lookup_join(pairs, stats, key, "inner")
+    return paged_values(found, [key, "rows", "max_seq"], seq, "sequences", copies="_n", page_size=page_size)
 
 
 def domain_listing(df: DataFrame, column: str, predicate: Column | None = None) -> DataFrame:
@@ -329,7 +345,7 @@ def domain_joined(df: DataFrame, column: str, separator: str = ",", page_size: i
     """Number of distinct values and the sorted values as text, paged for large domains."""
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
     sized = values.withColumn("total", values.select(m.rows()).scalar())
-    pages = paged_values(sized, ["total"], column, "total", "_values", page_size=page_size)
+    pages = paged_values(sized, ["total"], column, "_values", page_size=page_size)
     return pages.select("page", "total", F.concat_ws(separator, "_values").alias("values"))
 
 
@@ -337,15 +353,15 @@ def top_k_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     return df.groupBy(column).agg(m.rows().alias("n")).orderBy(F.desc("n"), column).limit(k)
 
 
-def semi_lookup(df: DataFrame, other: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+def semi_lookup(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows of df whose key occurs in `other`."""
-    return lookup_join(df, other.select(key).distinct(), key, "semi", hot=hot)
+    return lookup_join(df, other.select(key).distinct(), key, "semi")
 
 
 def repeated_key_rows(df: DataFrame, key: str) -> DataFrame:
     """All rows whose key occurs more than once."""
     repeated = df.groupBy(key).agg(m.rows().alias("_n")).filter(F.col("_n") > 1).select(key)
-    return lookup_join(df, repeated, key, "semi", hot=hot_keys(df, key))
+    return lookup_join(df, repeated, key, "semi")
 
 
 def join_inspect(
@@ -355,11 +371,10 @@ def join_inspect(
     predicate: Column | None = None,
     columns: Sequence[str] = (),
     order: Sequence[Column] = (),
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Child rows with parent columns; the predicate is on the child and applied first."""
     kept = child if predicate is None else child.filter(predicate)
-    out = lookup_join(kept, parent, key, "inner", hot=hot)
+    out = lookup_join(kept, parent, key, "inner")
     out = out.select(*columns) if columns else out
     return out.orderBy(*order) if order else out
 

@@ -17,20 +17,17 @@ from pyspark.sql import Window as W
 
 from gleanstar.functions.measures import any_true, rows
 from gleanstar.operators.joins import as_list
-from gleanstar.session import RANGE_BYTES, estimated_bytes, stage
-
-
-def default_buckets(df: DataFrame) -> int:
-    """One range per RANGE_BYTES, at most the session's number of shuffle partitions."""
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(most, 1 + estimated_bytes(df) // RANGE_BYTES))
+from gleanstar.session import stage
 
 
 def sorted_table(df: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
     """df stored in ascending key order (NULLs first), with `_part`, the number of the key
-    range, and `_pos`, the 0-based position within it."""
+    range, and `_pos`, the 0-based position within it.
+
+    There are `buckets` ranges, or as many as the session has shuffle partitions, of which
+    AQE joins small neighbours up to its advisory size. Runs when it is called."""
     order = as_list(order)
-    ranged = df.repartitionByRange(buckets or default_buckets(df), *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(*([buckets] if buckets else []), *order).sortWithinPartitions(*order)
     stored = stage(ranged.withColumn("_part", F.spark_partition_id()), "sorted")
     return stored.select("*", F.col("_metadata.row_index").alias("_pos"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanstar.functions import measures as m
 from gleanstar.functions.timeparts import calendar_columns, calendar_days, elapsed
-from gleanstar.operators.joins import hot_keys, lookup_join
+from gleanstar.operators.joins import lookup_join
 from gleanstar.operators.ranking import (
     global_row_number,
     ntile_tier,
@@ -51,7 +51,7 @@ def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
         F.col("category_name_portuguese").alias("category_name"), F.col("category_name_english").alias("_english")
     )
     base = products.select("product_id", F.col("product_category_name").alias("category_name"))
-    joined = lookup_join(base, names, "category_name", "left", hot=hot_keys(base, "category_name"))
+    joined = lookup_join(base, names, "category_name", "left")
     named = joined.select(
         "product_id",
         "category_name",
@@ -64,7 +64,7 @@ def seller_activity(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Per seller: distinct orders, orders found, first purchase time."""
     pairs = items.filter(F.col("seller_id").isNotNull()).select("seller_id", "order_id").distinct()
     when = orders.select("order_id", F.lit(True).alias("_known"), "order_purchase_timestamp")
-    timed = lookup_join(pairs, when, "order_id", "left", hot=hot_keys(items, "order_id"))
+    timed = lookup_join(pairs, when, "order_id", "left")
     return timed.groupBy("seller_id").agg(
         F.count("order_id").alias("order_count"),
         F.count("_known").alias("known_orders"),
@@ -112,7 +112,7 @@ def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
     c = customers.select(
         "customer_id", "customer_unique_id", "customer_state", "customer_city", "customer_zip_code_prefix"
     )
-    return lookup_join(o, c, "customer_id", "inner", hot=hot_keys(o, "customer_id"))
+    return lookup_join(o, c, "customer_id", "inner")
 
 
 def first_and_latest(person_orders: DataFrame) -> DataFrame:
@@ -135,9 +135,9 @@ def first_categories(people: DataFrame, items: DataFrame, products: DataFrame) -
     """Category of the dearest item in each person's first order (ties: category ascending)."""
     firsts = people.select(F.col("first_order_id").alias("order_id"), "customer_unique_id")
     i = items.select("order_id", "product_id", "price")
-    bought = lookup_join(i, firsts, "order_id", "inner", hot=hot_keys(i, "order_id"))
+    bought = lookup_join(i, firsts, "order_id", "inner")
     p = products.select("product_id", F.col("product_category_name").alias("first_purchase_category"))
-    priced = lookup_join(bought, p, "product_id", "left", hot=hot_keys(i, "product_id"))
+    priced = lookup_join(bought, p, "product_id", "left")
     return pick_one_per_key(
         priced,
         "customer_unique_id",
@@ -198,7 +198,7 @@ def two_hop_key(customers: DataFrame, dim: DataFrame) -> DataFrame:
     c = customers.select("customer_id", "customer_unique_id")
     keys = dim.select("customer_unique_id", "customer_key")
     return lookup_join(
-        c, keys, "customer_unique_id", "inner", hot=hot_keys(c, "customer_unique_id")
+        c, keys, "customer_unique_id", "inner"
     ).select("customer_id", "customer_key")
 
 
@@ -263,7 +263,7 @@ def fact_order_item(
     """
     keys = two_hop_key(customers, customer_dim)
     measured = order_measures(orders)
-    by_order = lookup_join(measured, keys, "customer_id", "left", hot=hot_keys(orders, "customer_id"))
+    by_order = lookup_join(measured, keys, "customer_id", "left")
     by_order = by_order.join(latest_reviews(reviews), "order_id", "left")
     # The calendar holds one row per day of the order span.
     days = date_dim.select("full_date", F.col("date_key").alias("order_date_key"))
@@ -271,12 +271,12 @@ def fact_order_item(
 
     carried = list(dict.fromkeys(["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value", *order_by]))
     lines = items.select(*carried, F.col("is_shipping_date_anomaly").alias("is_shipping_anomaly"))
-    fact = lookup_join(lines, by_order, "order_id", "inner", hot=hot_keys(lines, "order_id"))
+    fact = lookup_join(lines, by_order, "order_id", "inner")
     for dim, natural, key in (
         (seller_dim, "seller_id", "seller_key"),
         (product_dim, "product_id", "product_key"),
     ):
-        fact = lookup_join(fact, dim.select(natural, key), natural, "left", hot=hot_keys(lines, natural))
+        fact = lookup_join(fact, dim.select(natural, key), natural, "left")
     fact = junk_key_lookup(fact, flag_dim, null_safe=null_safe_flags)
     fact = fact.withColumns(
         {

@@ -23,7 +23,7 @@ from gleanstar.operators import clean as k
 from gleanstar.operators import profile as p
 from gleanstar.operators import serve as g
 from gleanstar.operators import validate as v
-from gleanstar.operators.joins import hot_keys, lookup_join
+from gleanstar.operators.joins import lookup_join
 from gleanstar.plans import cleaning, star
 from gleanstar.session import stage
 
@@ -166,7 +166,7 @@ def items_profile(raw: Tables, focus: Focus = Focus()) -> Report:
             },
         ),
         "PI.7": lambda: p.join_inspect(
-            i, o, "order_id", late, ["order_id", PURCHASE, SHIP_LIMIT], [F.desc(SHIP_LIMIT)], hot_keys(i, "order_id")
+            i, o, "order_id", late, ["order_id", PURCHASE, SHIP_LIMIT], [F.desc(SHIP_LIMIT)]
         ),
         "PI.8": lambda: p.join_inspect(
             i,
@@ -174,7 +174,6 @@ def items_profile(raw: Tables, focus: Focus = Focus()) -> Report:
             "order_id",
             anomalous,
             ["order_id", "order_item_id", "product_id", "seller_id", SHIP_LIMIT, *lifecycle],
-            hot=hot_keys(i, "order_id"),
         ),
         "PI.9": lambda: p.table_profile(i.filter(mine & anomalous), ["order_id"]),
         "PI.10": lambda: p.rule_counts(i, {"total_rows": mine}),
@@ -416,7 +415,7 @@ def clean_orders_checks(raw: Tables, clean: Tables, focus: Focus = Focus()) -> R
         "CO.9": lambda: v.mutually_exclusive(o, flags[0], flags[1]),
         "CO.10": lambda: v.reconcile(o, flags[:2], undelivered),
         "CO.11": lambda: p.semi_lookup(
-            i, o.filter(tp.in_month(PURCHASE, focus.month)), "order_id", hot=hot_keys(i, "order_id")
+            i, o.filter(tp.in_month(PURCHASE, focus.month)), "order_id"
         ),
     }
 
@@ -602,7 +601,7 @@ def item_flag_rows(clean: Tables) -> DataFrame:
     i = clean["order_items"]
     lines = i.select("order_id", "order_item_id", F.col("is_shipping_date_anomaly").alias("is_shipping_anomaly"))
     orders = clean["orders"].select("order_id", *g.ORDER_FLAGS)
-    return lookup_join(lines, orders, "order_id", "inner", hot=hot_keys(lines, "order_id"))
+    return lookup_join(lines, orders, "order_id", "inner")
 
 
 def quality_flag_checks(clean: Tables, serving: Tables, focus: Focus = Focus()) -> Report:
@@ -668,9 +667,9 @@ def customer_checks(clean: Tables, serving: Tables, focus: Focus = Focus()) -> R
         """
         i, d = clean["order_items"], clean["products"]
         lines = i.select("order_id", "order_item_id", "product_id", "price")
-        bought = lookup_join(lines, _first_orders(clean), "order_id", "inner", hot=hot_keys(lines, "order_id"))
+        bought = lookup_join(lines, _first_orders(clean), "order_id", "inner")
         named = lookup_join(
-            bought, d.select("product_id", "product_category_name"), "product_id", "inner", hot=hot_keys(i, "product_id")
+            bought, d.select("product_id", "product_category_name"), "product_id", "inner"
         )
         named = stage(named.select(person, "price", "product_category_name"), "first_order_items")
         mixed = p.fd_violations(named, person, "product_category_name").select(person)
@@ -751,9 +750,9 @@ def fact_checks(clean: Tables, serving: Tables, focus: Focus = Focus()) -> Repor
     def without_product() -> DataFrame:
         """Items of first orders whose product is unknown."""
         lines = clean["order_items"].select("order_id", "order_item_id", "product_id")
-        bought = lookup_join(lines, _first_orders(clean), "order_id", "inner", hot=hot_keys(lines, "order_id"))
+        bought = lookup_join(lines, _first_orders(clean), "order_id", "inner")
         products = clean["products"].select("product_id")
-        missing = lookup_join(bought, products, "product_id", "anti", hot=hot_keys(lines, "product_id"))
+        missing = lookup_join(bought, products, "product_id", "anti")
         return missing.select("customer_unique_id", "order_id", "product_id")
 
     return {

@@ -15,6 +15,8 @@ _RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key's partition even if the next step then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
@@ -55,6 +57,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def staging_folder(spark: SparkSession) -> str:
+    """A fresh folder below the shared one, deleted by `drop_staged`."""
+    folder = os.path.join(shared_dir(spark), "staged", uuid.uuid4().hex)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back.
 
@@ -62,9 +71,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     for the readers, and gives the optimizer a measured size to plan joins with.
     """
     spark = df.sparkSession
-    folder = os.path.join(shared_dir(spark), "staged", uuid.uuid4().hex)
-    path = os.path.join(folder, name)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    path = os.path.join(staging_folder(spark), name)
     # One file per task whatever the session says: row positions count within a file.
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -80,13 +87,3 @@ def drop_staged(spark: SparkSession) -> int:
         path = hadoop.Path(folder)
         path.getFileSystem(conf).delete(path, True)
     return len(folders)
-
-
-# Bytes (as stored) per sorted range, until there are as many ranges as shuffle partitions.
-RANGE_BYTES = 2 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate. It follows from the file sizes for a stored table
-    and errs high for joins."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -37,13 +37,17 @@ def test_numbering_reads_the_stored_table_without_a_sort(spark):
     assert "BroadcastHashJoin" in text and "FileScan parquet" in text
 
 
-def test_ranges_follow_the_size(spark, monkeypatch):
+def test_ranges_follow_the_session(spark):
     df = spark.range(500).selectExpr("id * 7919 % 1000 as a")
-    assert r.default_buckets(df) == 1
+    assert {x["_part"] for x in r.sorted_table(df, "a").collect()} == {0}
     small = rows(r.global_row_number(df, "a", "rn"))
-    monkeypatch.setattr(r, "RANGE_BYTES", 100)
-    assert r.default_buckets(df) == 8
-    assert rows(r.global_row_number(df, "a", "rn")) == small
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert {x["_part"] for x in r.sorted_table(df, "a").collect()} == set(range(8))
+        assert rows(r.global_row_number(df, "a", "rn")) == small
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
 
 
 @pytest.mark.parametrize("n, k", [(1, 3), (2, 7), (7, 3), (8, 3), (9, 7), (100, 7)])
@@ -94,62 +98,78 @@ def skewed(spark):
     return left, right
 
 
+@pytest.fixture
+def tiny_partitions(spark, no_auto_broadcast):
+    """AQE's limits as for tables of these tests' size."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    old = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "semi", "anti"])
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_lookup_join_with_hot_keys_equals_the_plain_join(spark, no_auto_broadcast, how, null_safe):
+def test_lookup_join_splits_hot_keys(spark, tiny_partitions, how, null_safe):
     """Key 7 is hot with a match, -5 hot without one, NULL is frequent."""
     left, right = skewed(spark)
     if null_safe:
         right = right.unionByName(spark.sql("select cast(null as bigint) as k, 'n' as v, cast(0 as bigint) as w"))
-    hot = joins.hot_keys(left, "k", floor=200)
-    assert {r.k for r in hot.collect()} >= {7, -5}
-    got = joins.lookup_join(left, right, "k", how, hot=hot, null_safe=null_safe)
-    want = joins.lookup_join(left, right, "k", how, null_safe=null_safe)
+    got = joins.lookup_join(left, right, "k", how, null_safe=null_safe)
     assert got.columns == ["k", "id", *(["v", "w"] if how in ("left", "inner") else [])]
-    assert rows(got, *sorted(got.columns)) == rows(want, *sorted(got.columns))
-
-
-def test_lookup_join_spreads_the_hot_key(spark, no_auto_broadcast):
-    left, right = skewed(spark)
-    old = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    by_key = {r.k: r for r in right.collect()}
+    want = []
+    for r in left.collect():
+        hit = by_key.get(r.k) if r.k is not None or null_safe else None
+        if how in ("semi", "anti"):
+            want += [(r.k, r.id)] * ((hit is not None) == (how == "semi"))
+        elif hit is not None or how == "left":
+            want.append((r.k, r.id, hit and hit.v, hit and hit.w))
+    assert rows(got) == sorted(want, key=repr)
+
+
+def largest_partition(joined, path):
+    """Rows of the largest file that a join writes."""
+    joined.write.parquet(path)
+    back = joined.sparkSession.read.parquet(path)
+    return max(r["count"] for r in back.groupBy(F.col("_metadata.file_name")).count().collect())
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_a_hot_key_lands_in_several_tasks(spark, tiny_partitions, tmp_path, equal):
+    """Also if all its rows are equal."""
+    columns = "cast(0 as bigint) as id" if equal else "id"
+    left = spark.range(0, 200_000, 1, 16).selectExpr(columns, "if(id % 2 = 0, 7, id % 1500) as k")
+    right = spark.range(1500).selectExpr("id as k", "concat('v', id) as v")
+    assert largest_partition(joins.lookup_join(left, right, "k"), str(tmp_path / "a")) < 60_000
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
     try:
-        joined = joins.lookup_join(left, right, "k", "left", hot=joins.hot_keys(left, "k", floor=200))
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        plain = left.join(right, "k", "left").groupBy(F.spark_partition_id()).count().collect()
+        assert largest_partition(joins.lookup_join(left, right, "k"), str(tmp_path / "b")) > 100_000
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", old)
-    assert max(sizes) < 4000 / 8 * 1.5
-    assert max(r["count"] for r in plain) > 4000 / 3
-
-
-def test_hot_keys_are_few_by_construction(spark):
-    df = spark.range(1000).selectExpr("id % 10 as k")
-    assert joins.hot_keys(df, "k", share=5, floor=0).count() == 0
-    assert joins.hot_keys(df, "k", share=11, floor=0).count() == 10
-    assert joins.hot_keys(df, "k") is None
-
-
-def test_lookup_join_refuses_differing_key_types(spark):
-    left = spark.range(3).selectExpr("cast(id as int) as k")
-    with pytest.raises(TypeError):
-        joins.lookup_join(left, spark.range(3).withColumnRenamed("id", "k"), "k", hot=left.limit(1))
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
 def test_full_outer_equals_the_built_in(spark):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "x int, l string")
     right = spark.createDataFrame([(1, "p"), (3, "q"), (None, "r")], "y int, r string")
-    got = joins.full_outer(left, right, "x", "y", hot=joins.hot_keys(left, "x", floor=1))
+    got = joins.full_outer(left, right, "x", "y")
     want = left.join(right, left.x == right.y, "full_outer")
     assert rows(got, "x", "l", "y", "r") == rows(want, "x", "l", "y", "r")
 
 
-def test_paged_values_keep_everything(spark):
-    pairs = spark.createDataFrame([("k", i, 25, 1 + i % 3) for i in range(25)], "k string, v int, n int, c bigint")
-    pages = paged_values(pairs, ["k"], "v", "n", "vs", page_size=10).collect()
-    assert len(pages) > 1
-    assert sorted(v for p in pages for v in p.vs) == list(range(25))
-    copies = paged_values(pairs, ["k"], "v", "n", "vs", copies="c", page_size=2).collect()
-    assert sorted(v for p in copies for v in p.vs) == sorted(i for i in range(25) for _ in range(1 + i % 3))
-    (whole,) = paged_values(pairs, ["k"], "v", "n", "vs").collect()
-    assert whole.page == 0 and whole.vs == list(range(25))
+@pytest.mark.parametrize("page_size", [1, 7, 10, 1000])
+def test_pages_are_the_sorted_list(spark, page_size):
+    pairs = spark.createDataFrame([(k, i, 1 + i % 3) for k in "ab" for i in range(25 if k == "a" else 4)], "k string, v int, c bigint")
+    for copies in (None, "c"):
+        found = paged_values(pairs.repartition(3), ["k"], "v", "vs", copies=copies, page_size=page_size).collect()
+        for key, n in (("a", 25), ("b", 4)):
+            pages = sorted((p.page, p.vs) for p in found if p.k == key)
+            want = [i for i in range(n) for _ in range(1 if copies is None else 1 + i % 3)]
+            assert [p for p, _ in pages] == list(range(-(-len(want) // page_size)))
+            assert [v for _, vs in pages for v in vs] == want and all(len(vs) == page_size for _, vs in pages[:-1])

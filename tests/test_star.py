@@ -200,13 +200,6 @@ def test_fact_plan_has_no_cross_join(clean, serving, no_auto_broadcast):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_fact_with_hot_keys_is_the_same(clean, serving, monkeypatch, no_auto_broadcast):
-    from gleanstar.operators import joins
-
-    monkeypatch.setattr(g, "hot_keys", lambda df, keys: joins.hot_keys(df, keys, floor=1))
-    assert rows(star.build_fact(clean, serving, ITEM_KEY)) == rows(serving[FACT])
-
-
 def test_zip_centroid_and_payment_rollup(clean):
     assert rows(g.zip_centroid(clean["geolocation"].filter("geolocation_zip_code_prefix = '20040'"))) == [
         ("20040", -22.9, -43.2, 2)
