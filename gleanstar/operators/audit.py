@@ -223,7 +223,3 @@ def zero_value_parents(
     """The zero-valued rows with attributes of their parent."""
     zero = df.filter(F.col(value) == 0)
     return lookup_join(zero, parent, key, how).select(*columns)
-
-
-def count_by_rule(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    return df.agg(*[F.count_if(col(p)).alias(n) for n, p in rules.items()])

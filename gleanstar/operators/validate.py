@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -129,9 +130,9 @@ def unmatched_combinations(fact: DataFrame, dim: DataFrame, columns: Sequence[st
 
 def schema_excludes(df: DataFrame, pattern: str) -> DataFrame:
     """column_name and number of non-null values of the columns LIKE the pattern."""
-    spark = df.sparkSession
-    listed = spark.createDataFrame([(i, c) for i, c in enumerate(df.columns)], "pos int, column_name string")
-    hits = [r.column_name for r in listed.filter(F.lower("column_name").like(pattern)).orderBy("pos").collect()]
+    # LIKE over the list of names: % is any text, _ any character
+    like = "".join({"%": ".*", "_": "."}.get(ch, re.escape(ch)) for ch in pattern)
+    hits = [c for c in df.columns if re.fullmatch(like, c.lower(), re.DOTALL)]
     if not hits:
         return df.limit(0).select(F.lit("").alias("column_name"), F.lit(0).cast("bigint").alias("filled_rows"))
     one = df.agg(*[F.count(c).alias(c) for c in hits])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,14 +64,58 @@ class Warehouse:
         return os.path.join(self.base, layer, table) if self.base else f"{self.prefix}{layer}.{table}"
 
     def save(self, layer: str, table: str, df: DataFrame) -> DataFrame:
+        """Replace the table. In folders the new version is written beside the old one and then
+        made current by one rename, so a failed write leaves the old table, and a table may be
+        built from itself; `vacuum` deletes old versions."""
         target = self.name(layer, table)
-        writer = df.write.mode("overwrite").format("parquet")
-        writer.save(target) if self.base else writer.saveAsTable(target)
+        if not self.base:
+            df.write.mode("overwrite").format("parquet").saveAsTable(target)
+            return self.read(layer, table)
+        version = f"v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(os.path.join(target, version))
+        self._point(target, version)
         return self.read(layer, table)
 
     def read(self, layer: str, table: str) -> DataFrame:
         target = self.name(layer, table)
-        return self.spark.read.parquet(target) if self.base else self.spark.table(target)
+        if not self.base:
+            return self.spark.table(target)
+        return self.spark.read.parquet(os.path.join(target, self._version(target)))
+
+    def vacuum(self, layer: str, table: str) -> int:
+        """Delete the versions of a table that are not current; returns how many."""
+        target = self.name(layer, table)
+        current, fs = self._version(target), self._filesystem(target)
+        old = [s.getPath() for s in fs.listStatus(self._path(target)) if s.isDirectory() and s.getPath().getName() != current]
+        for path in old:
+            fs.delete(path, True)
+        return len(old)
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _filesystem(self, name: str):
+        return self._path(name).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _version(self, target: str) -> str:
+        stream = self._filesystem(target).open(self._path(os.path.join(target, "_CURRENT")))
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    def _point(self, target: str, version: str) -> None:
+        new = self._path(os.path.join(target, f"_{version}"))
+        stream = self._filesystem(target).create(new)
+        stream.writeUTF(version)
+        stream.close()
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        options = gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        qualified = self._filesystem(target).makeQualified(new)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(qualified, self._filesystem(target).makeQualified(self._path(os.path.join(target, "_CURRENT"))), options)
 
     def layer(self, layer: str, tables: Sequence[str]) -> dict[str, DataFrame]:
         return {t: self.read(layer, t) for t in tables}

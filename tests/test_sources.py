@@ -64,6 +64,19 @@ def test_databases(spark, tmp_path):
     assert spark.conf.get("spark.sql.warehouse.dir") == old
 
 
+def test_saving_switches_versions(spark, tmp_path):
+    store = src.Warehouse(spark, str(tmp_path / "shop"))
+    first = store.save("clean", "t", spark.range(3))
+    # built from itself, while readers of the old version go on
+    store.save("clean", "t", store.read("clean", "t").selectExpr("id + 10 as id"))
+    assert rows(first) == [(0,), (1,), (2,)] and rows(store.read("clean", "t")) == [(10,), (11,), (12,)]
+    broken = spark.range(3).selectExpr("cast(concat('x', id) as int) as id")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        store.save("clean", "t", broken)
+    assert rows(store.read("clean", "t")) == [(10,), (11,), (12,)]
+    assert store.vacuum("clean", "t") >= 1 and rows(store.read("clean", "t")) == [(10,), (11,), (12,)]
+
+
 def test_columns_like_and_literals(spark):
     df = src.literal_relation(spark, [(1, 2.0)], "Payment_id int, price double")
     assert rows(src.columns_like(df, "%payment%")) == [("Payment_id", "int")]
