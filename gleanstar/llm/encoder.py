@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-# Pieces and plain words kept per worker.
+# Pieces, and as many plain words, kept per worker (some 200 bytes each).
 PIECES = 400_000
 # Trailing marks that stay one token run of their own; the apostrophe starts contractions.
 _MARKS = string.punctuation.replace("'", "")
@@ -57,25 +57,39 @@ class Encoder:
     def _learn(self, pieces: set[str]) -> None:
         if len(self._pieces) + len(pieces) > self._limit:
             self._pieces = {"": b""}
-        plain, whole = {}, []
+        known, words, unknown = self._pieces, self._words, []
         for p in pieces:
+            word = p.rstrip(_MARKS)
+            ids = words.get(word.lower())
+            if ids is None or not word:
+                unknown.append(p)
+            elif len(word) == len(p):
+                known[p] = ids
+            else:
+                marks = words.get(p[len(word) :])
+                if marks is None:
+                    unknown.append(p)
+                else:
+                    known[p] = ids + marks
+        plain, whole = {}, []
+        for p in unknown:
             word = p.rstrip(_MARKS)
             if word.isalpha() and (word.isascii() or max(word) < "ƀ"):
                 plain[p] = word.lower(), p[len(word) :]
             else:
                 whole.append(p)
-        parts = {x for pair in plain.values() for x in pair if x}
-        if new := parts.difference(self._words):
-            marks = [w for w in new if not w[0].isalpha()]
-            self._learn_words([w for w in new if w[0].isalpha()])
-            self._words.update(zip(marks, self._ids(marks), strict=True))
+        self._learn_words(list({w for w, _ in plain.values()}.difference(words)))
         words = self._words
-        if not parts <= words.keys():  # the table was emptied meanwhile
-            missing = [w for w in parts if w not in words]
-            words.update(zip(missing, self._ids(missing), strict=True))
+        marks = list({m for _, m in plain.values() if m}.difference(words))
+        words.update(zip(marks, self._ids(marks), strict=True))
         words[""] = b""
-        self._pieces.update((p, words[w] + words[m]) for p, (w, m) in plain.items())
-        self._pieces.update(zip(whole, self._ids(whole), strict=True))
+        for p, (w, m) in plain.items():
+            if w not in words:  # the table was emptied meanwhile
+                words[w] = self._ids([w])[0]
+            if m not in words:
+                words[m] = self._ids([m])[0]
+            known[p] = words[w] + words[m]
+        known.update(zip(whole, self._ids(whole), strict=True))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""

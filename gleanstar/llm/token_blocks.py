@@ -30,6 +30,9 @@ BLOCK = 256
 # Share of a block's differences that must fit the packed width.
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 20
+SEGMENTS_A_TASK = 4
+# Pieces of text and words a worker keeps encoded; it has little else to hold here.
+PIECES = 700_000
 _INDEX = np.dtype([("start", "<u8"), ("low", "<u4"), ("first_exception", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 _EXCEPTION = np.dtype([("at", "<u2"), ("value", "<u4")])
 
@@ -126,7 +129,7 @@ def write_tokens(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        code, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        code, end = encoder(tokenizer, PIECES), np.array([end_id], "<u4").tobytes()
         found = []
 
         def segments():
@@ -168,8 +171,8 @@ _READ = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.in
 def read_tokens(spark: SparkSession, segments: DataFrame, with_ids: bool = True) -> DataFrame:
     """Read written files back, a task per few segments: id, start, n_tokens, ids_crc32 and,
     if wanted, ids (little-endian unsigned 32-bit integers)."""
-    # One row per segment, as many as the ids divided by SEGMENT_IDS; ordered by file and place.
-    sizes = segments.groupBy("part").agg(F.sum("n").alias("n")).collect()
+    # One row per file, so no more than there are ranges.
+    sizes = segments.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("segments")).collect()
     base, at = {}, 0
     for r in sorted(sizes, key=lambda r: r["part"]):
         base[r["part"]] = at
@@ -194,7 +197,9 @@ def read_tokens(spark: SparkSession, segments: DataFrame, with_ids: bool = True)
     before = F.sum("n").over(Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
     placed = segments.withColumn("before", F.coalesce(before, F.lit(0)))
     kinds = "id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
-    return placed.mapInArrow(read, kinds)
+    # the manifest is small, but what it names is not: one task per few segments
+    tasks = max(1, sum(r["segments"] for r in sizes) // SEGMENTS_A_TASK)
+    return placed.repartition(tasks).mapInArrow(read, kinds)
 
 
 def token_blocks(
