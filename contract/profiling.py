@@ -454,7 +454,7 @@ def _(t):
 @query(
     "fd_variants_long_lists",
     """select o_orderstatus, n_distinct, rows, page, string_agg(cast(o_orderkey as varchar), ',' order by o_orderkey) as variants
-    from (select o_orderstatus, o_orderkey, count(*) over w as n_distinct, sum(n) over w as rows,
+    from (select o_orderstatus, o_orderkey, count(*) over w as n_distinct, cast(sum(n) over w as bigint) as rows,
         (row_number() over (partition by o_orderstatus order by o_orderkey) - 1) // 1000 as page
         from (select o_orderstatus, o_orderkey, count(*) as n from orders group by all) window w as (partition by o_orderstatus))
     group by o_orderstatus, n_distinct, rows, page""",
