@@ -15,12 +15,12 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
-from gleanstar.session import shared_dir
+from gleanstar.session import staging_folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one."""
-    return os.path.join(shared_dir(spark), "staged", uuid.uuid4().hex, name)
+    """A fresh folder below the shared one, deleted with what else the session staged."""
+    return os.path.join(staging_folder(spark), name)
 
 
 @lru_cache(maxsize=64)

@@ -28,6 +28,12 @@ def configure_batches(df: DataFrame) -> None:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, path)])
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """The session's number. Named in a repartition it holds also where AQE would join
+    partitions that are small but stand for much work."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
     """The whole input row as the struct `row`, beside derived columns: names in the input
     cannot clash with the derived ones."""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanstar.llm.files import RangeReader, new_folder, write_file
-from gleanstar.llm.rows import as_batch, configure_batches
+from gleanstar.llm.rows import as_batch, configure_batches, shuffle_partitions
 from gleanstar.session import stage
 
 BLOCK_LINES = 1000
@@ -217,7 +217,7 @@ def write_index(captures: DataFrame, folder: str) -> list[tuple[str, str, str]]:
         if state["n"]:
             yield as_batch(_FILES, [file], [directory[0].partition("\t")[0]], [state["last"]], [state["n"]])
 
-    ranged = captures.repartitionByRange("key", "id").sortWithinPartitions("key", "id", "file", "offset")
+    ranged = captures.repartitionByRange(shuffle_partitions(captures), "key", "id").sortWithinPartitions("key", "id", "file", "offset")
     files = stage(ranged.mapInArrow(write, "file string, first string, last string, n long"), "index_files")
     return [(r["file"], r["first"], r["last"]) for r in files.collect()]
 
@@ -287,7 +287,7 @@ def lookup(keys: DataFrame, manifest: list[tuple[str, str, str]]) -> DataFrame:
                 yield as_batch(_CAPTURES, *zip(*out, strict=True))
 
     placed = keys.select("key").mapInArrow(assign, "key string, file long")
-    return placed.repartition("file").sortWithinPartitions("file", "key").mapInArrow(search, _CAPTURES_DDL)
+    return placed.repartition(max(1, len(manifest)), "file").sortWithinPartitions("file", "key").mapInArrow(search, _CAPTURES_DDL)
 
 
 def read_records(captures: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -313,7 +313,7 @@ def read_records(captures: DataFrame, with_payload: bool = False) -> DataFrame:
             if out:
                 yield as_batch(schema, *zip(*out, strict=True))
 
-    near = captures.withColumn("span", F.floor(F.col("offset") / SPAN)).repartition("file", "span")
+    near = captures.withColumn("span", F.floor(F.col("offset") / SPAN)).repartition(shuffle_partitions(captures), "file", "span")
     kinds = "id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string" + ", payload binary" * with_payload
     return near.sortWithinPartitions("file", "offset").select("file", "offset", "length").mapInArrow(read, kinds)
 
