@@ -88,7 +88,7 @@ def find_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """Occurrences of windows: id, h, start (position of the first word), length, window.
 
     docs: id, h, w (words). Runs when it is called."""
-    shingles = stage(window_shingles(windows), "window_shingles")
+    shingles = window_shingles(windows)
     # at most SHINGLE sizes, and one number
     counts = {r["k"]: r["n"] for r in shingles.groupBy("k").agg(F.count("*").alias("n")).collect()}
     small = sum(counts.values()) <= BROADCAST_ROWS
@@ -101,7 +101,7 @@ def find_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     ranked = keyed.join(rarity, "s", "left").select("window", "length", "k", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "s").alias("r"))
     # a window with a shingle that no document holds occurs nowhere
     first = ranked.groupBy("window", "length", "k").agg(F.min("r").alias("r")).filter("r.n > 0")
-    first = stage(first.select("window", "length", "k", "r.at", "r.s"), "rarest_shingles")
+    first = first.select("window", "length", "k", "r.at", "r.s")
     first = F.broadcast(first) if small else first
     # positional bound: the window begins at or after the text's first word
     started = met.join(first, "s").select("id", "h", (F.col("pos") - F.col("at")).alias("start"), "window", "length", "k")
