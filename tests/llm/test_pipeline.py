@@ -19,7 +19,7 @@ def brute(docs, items, accepted):
     left = {i: t for i, t in docs.items() if i in accepted}
     largest = {t: max(i for i in left if left[i] == t) for t in set(left.values())}
     left = {i: t for t, i in largest.items()}
-    parts = dict(eval(r)[::2] for r in test_ngram_join.brute(sorted(left.items())))
+    parts = dict(eval(r)[::2] for r in test_ngram_join.brute(sorted(left.items()), 80, 5))
     left = {i: t for i, t in left.items() if parts[i] == i}
     dirty = {r[0] for r in map(eval, test_decontaminate.brute(sorted(left.items()), items)) if r[5]}
     return test_chunk_bpe.brute([(i, t) for i, t in sorted(left.items()) if i not in dirty])
