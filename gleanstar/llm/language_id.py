@@ -256,11 +256,17 @@ def remainder(id_col: str, divisor: int) -> Column:
 
 
 def fit(docs: DataFrame, text_col: str, lang_col: str, order: Column, sample: int = SAMPLE) -> Model | None:
-    """Learn from the labelled rows given; None if there are none. `order` ranks the rows of a
-    language; the first `sample` are used, and ties beyond that in no stated order."""
+    """Learn from the labelled rows given; None if there are none. `order`, a struct that begins
+    with a 64-bit hash h, ranks the rows of a language; the first `sample` are used.
+
+    Only rows whose hash lies in the first part of its range that holds twice the sample, as
+    counted, are ranked, so no task ranks the rows of a whole language."""
     configure_batches(docs)
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = labelled.select(F.col(lang_col).alias("lang"), order.alias("order"))
+    part = F.least(F.lit(1.0), F.lit(2.0 * sample) / F.count("*"))
+    counts = rows.groupBy("lang").agg((part * 2.0**64 - 2.0**63).alias("below"))
+    rows = rows.join(counts, "lang").filter(F.col("order.h").cast("double") <= F.col("below")).drop("below")
     ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("order"))).filter(F.col("r") <= sample)
     # at most `sample` rows a language
     chosen = F.broadcast(ranked.groupBy("lang", "order").agg(F.min("r").alias("r")))
