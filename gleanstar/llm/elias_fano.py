@@ -72,11 +72,11 @@ class EliasFano:
         self._words = len(self.ones) - 1
         self._zeros = None
 
-    def _select(self, counts: np.ndarray, words: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """Place of the k-th set bit; counts: set bits before each word."""
+    def _select(self, counts: np.ndarray, k: np.ndarray, zeros: bool = False) -> np.ndarray:
+        """Place of the k-th one (or zero); counts: ones (or zeros) before each word."""
         word = np.searchsorted(counts, k, "right") - 1
         rest = (k - counts[word]).astype(np.int64)
-        bits = words[word].copy()
+        bits = ~self.high[word] if zeros else self.high[word]
         place = word * 64
         # halve the word: skip its lower half if the bit is not there
         for half in (32, 16, 8):
@@ -89,17 +89,17 @@ class EliasFano:
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """Values by position."""
-        at = self._select(self.ones, self.high, i)
+        at = self._select(self.ones, i)
         return ((at - i).astype(np.uint64) << np.uint64(self.width)) | unpack_bits(self.low, i, self.width)
 
     def _bucket(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first position, number) of the values with each high part."""
         if self._zeros is None:
+            # counted from the ones on first use: one number per 64 bits
             self._zeros = np.arange(self._words + 1) * 64 - self.ones
-            self._inverted = ~self.high
         place = np.zeros(len(high), np.int64)
         later = np.flatnonzero(high > 0)
-        place[later] = self._select(self._zeros, self._inverted, high[later] - 1) + 1
+        place[later] = self._select(self._zeros, high[later] - 1, zeros=True) + 1
         first = place - high
         # ones that follow: trailing ones of the 64 bits from there
         count = np.zeros(len(high), np.int64)
@@ -123,18 +123,22 @@ class EliasFano:
         high = (values >> np.uint64(self.width)).astype(np.int64)
         rows = np.flatnonzero(high <= self._words * 64 - self.n - 1)
         rows = rows[high[rows] <= int(self.access(np.array([self.n - 1]))[0] >> np.uint64(self.width))]
-        at, count = self._bucket(high[rows])
+        low, count = self._bucket(high[rows])
+        end = low + count
         wanted = values[rows] & np.uint64(2**self.width - 1)
-        while True:
-            on = count > 0
-            rows, at, count, wanted = rows[on], at[on], count[on], wanted[on]
-            if not len(rows):
-                return out
-            low = unpack_bits(self.low, at, self.width)
-            same = low == wanted
-            out[rows[same]] = at[same]
-            count = np.where(low < wanted, count - 1, 0)
-            at = at + 1
+        # binary search for the successor among the low bits of the bucket
+        first, last = low, end.copy()
+        on = np.flatnonzero(first < last)
+        while len(on):
+            middle = (first[on] + last[on]) >> 1
+            right = unpack_bits(self.low, middle, self.width) < wanted[on]
+            first[on[right]] = middle[right] + 1
+            last[on[~right]] = middle[~right]
+            on = on[first[on] < last[on]]
+        inside = np.flatnonzero(first < end)
+        same = inside[unpack_bits(self.low, first[inside], self.width) == wanted[inside]]
+        out[rows[same]] = first[same]
+        return out
 
     def all(self) -> np.ndarray:
         """The whole sequence."""

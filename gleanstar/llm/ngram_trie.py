@@ -23,6 +23,7 @@ model may grow with the corpus. Word numbers of all texts are stored once for th
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from gleanstar.llm import elias_fano as ef
 from gleanstar.llm.files import new_folder, open_shards, write_arrays
 from gleanstar.llm.language_id import remainder
-from gleanstar.llm.rows import as_batch, blocks, configure_batches, hashed_words, text_buffer, text_or_empty
+from gleanstar.llm.rows import as_batch, blocks, configure_batches, hashed_words, shuffle_partitions, text_buffer, text_or_empty
 from gleanstar.session import stage
 
 ORDER = 3
@@ -52,7 +53,7 @@ _BUILT_DDL = "shard int, file string, n long, total long"
 
 def n_shards(docs: DataFrame) -> int:
     """Shards of each level, in proportion to the shuffle partitions the session sets."""
-    return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    return max(1, shuffle_partitions(docs) // 4)
 
 
 def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -124,6 +125,12 @@ def building(folder: str, stem: str, arrays):
     return run
 
 
+@lru_cache(maxsize=4096)
+def _sequence(files: tuple[str, ...], k: int, prefix: str) -> ef.EliasFano:
+    """A sequence of a level's k-th file, set up once per worker."""
+    return ef.EliasFano(open_shards(files)[k], prefix)
+
+
 class Shards:
     """Shards of a level by number: their files and the number of their first node."""
 
@@ -143,6 +150,10 @@ class Shards:
         return None if k is None else open_shards(self.files)[k]
 
 
+    def sequence(self, shard: int, prefix: str = "") -> ef.EliasFano:
+        return _sequence(self.files, self.place[shard], prefix)
+
+
 def _runs(shard: np.ndarray):
     """(shard, slice) of sorted shard numbers."""
     if not len(shard):
@@ -195,9 +206,8 @@ class Words:
         distinct, inverse = np.unique(hashes, return_inverse=True)
         out = np.full(len(distinct), _ABSENT, np.uint32)
         for s, part in _runs(self.shard_of(distinct, self.shards.shards)):
-            arrays = self.shards.arrays(s)
-            if arrays is not None:
-                at = ef.EliasFano(arrays).find(distinct[part])
+            if s in self.shards.place:
+                at = self.shards.sequence(s).find(distinct[part])
                 out[part] = np.where(at >= 0, at + self.shards.first[s], _ABSENT).astype(np.uint32)
         return out[inverse]
 
@@ -264,12 +274,12 @@ class Level:
             rest[part] = arrays["rest_book"][arrays["rest_code"][local]]
             # pointers of each distinct context and of the next
             edges = np.flatnonzero(np.diff(local, prepend=-1))
-            pointers = ef.EliasFano(arrays, "pointer_")
+            pointers = self.shards.sequence(s, "pointer_")
             low, high = pointers.access(local[edges]), pointers.access(local[edges] + 1)
             of = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(local))))
             place = low[of] + word[part].astype(np.uint64)
             rows = np.flatnonzero(place < high[of])
-            at = ef.EliasFano(arrays, "word_").find(place[rows])
+            at = self.shards.sequence(s, "word_").find(place[rows])
             found = rows[at >= 0]
             at = at[at >= 0]
             node[part.start + found] = at + self.shards.first[s]
@@ -313,6 +323,18 @@ class Trie:
         return context, parts
 
 
+# Words that are looked up at a time (a longer text is looked up as a whole).
+LOOKED_UP = 1 << 20
+
+
+def _texts(column: pa.Array):
+    """(word numbers, starts of texts) of a binary column, about LOOKED_UP words at a time."""
+    numbers, ends = _numbers(column)
+    for _, part, at in blocks(numbers, np.concatenate([[0], ends]), LOOKED_UP):
+        if len(part):
+            yield part, at[:-1]
+
+
 def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(word numbers, ends of texts) of a binary column."""
     _, offsets, data = column.buffers()
@@ -336,12 +358,12 @@ def train(docs: DataFrame, id_col: str, text_col: str, order: int, cutoff: int,
     def level(found: DataFrame, find_keys, split, arrays, stem: str) -> Shards:
         """Count and build; the manifest has one row per shard."""
         counted = found.mapInArrow(counting(find_keys, split), _SENT_DDL)
-        by_shard = counted.repartition("shard").sortWithinPartitions("shard")
+        by_shard = counted.repartition(shuffle_partitions(docs), "shard").sortWithinPartitions("shard")
         return Shards(stage(by_shard.mapInArrow(building(folder, stem, arrays), _BUILT_DDL), stem).collect(), shards)
 
     def word_keys(batch):
         data, offsets = text_buffer(batch.column(0))
-        for _, part, at in blocks(data, offsets, 1 << 23):
+        for _, part, at in blocks(data, offsets):
             yield _with_end(*hashed_words(part, at))[0]
 
     counted = level(rows.filter("not held_out").select("text"), word_keys, Words.split(shards), Words.build, "words")
@@ -351,7 +373,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, order: int, cutoff: int,
         schema = pa.schema([("id", pa.int64()), ("held_out", pa.bool_()), ("numbers", pa.binary())])
         for batch in batches:
             data, offsets = text_buffer(batch.column(2))
-            for first, part, at in blocks(data, offsets, 1 << 23):
+            for first, part, at in blocks(data, offsets):
                 hashes, ends = _with_end(*hashed_words(part, at))
                 raw = trie.words.number(hashes).tobytes()
                 cuts = [0, *(4 * ends).tolist()]
@@ -364,9 +386,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, order: int, cutoff: int,
     for k in range(2, order + 1):
 
         def keys(batch):
-            numbers, ends = _numbers(batch.column(0))
-            starts = np.concatenate([[0], ends[:-1]])
-            if len(numbers):
+            for numbers, starts in _texts(batch.column(0)):
                 context, _ = trie.nodes(numbers, starts)
                 rows = np.flatnonzero(context >= 0)
                 yield context[rows].astype(np.uint64) * np.uint64(words) + numbers[rows].astype(np.uint64)
@@ -388,20 +408,21 @@ def scoring(trie: Trie, total: int):
     def run(batches):
         every = total + trie.words.size + 1
         for batch in batches:
-            numbers, ends = _numbers(batch.column(2))
-            if not len(ends):
-                continue
-            starts = np.concatenate([[0], ends[:-1]])
-            distinct, inverse = np.unique(numbers, return_inverse=True)
-            count = trie.words.counts(distinct)[inverse]
-            base = (count + 1) / every
-            p = base.copy()
-            for discounted, rest in trie.nodes(numbers, starts)[1]:
-                p = discounted + rest * p
-            # every text has its end, so no slice is empty
-            sums = [np.add.reduceat(x, starts) for x in (np.log10(base), np.log10(p), (count > 0).astype(np.int64))]
-            n = ends - starts
-            yield as_batch(schema, batch.column(0), batch.column(1), n, sums[2], [total] * len(n), sums[0], sums[1])
+            columns = [[], [], [], []]
+            for numbers, starts in _texts(batch.column(2)):
+                distinct, inverse = np.unique(numbers, return_inverse=True)
+                count = trie.words.counts(distinct)[inverse]
+                base = (count + 1) / every
+                p = base.copy()
+                for discounted, rest in trie.nodes(numbers, starts)[1]:
+                    p = discounted + rest * p
+                # every text has its end, so no slice is empty
+                columns[0].append(np.diff(np.append(starts, len(numbers))))
+                for k, x in enumerate(((count > 0).astype(np.int64), np.log10(base), np.log10(p))):
+                    columns[k + 1].append(np.add.reduceat(x, starts))
+            if columns[0]:
+                n, known, base, score = (np.concatenate(c) for c in columns)
+                yield as_batch(schema, batch.column(0), batch.column(1), n, known, [total] * len(n), base, score)
 
     return run
 
