@@ -266,7 +266,8 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, order: Column, sample: in
     rows = labelled.select(F.col(lang_col).alias("lang"), order.alias("order"))
     part = F.least(F.lit(1.0), F.lit(2.0 * sample) / F.count("*"))
     counts = rows.groupBy("lang").agg((part * 2.0**64 - 2.0**63).alias("below"))
-    rows = rows.join(counts, "lang").filter(F.col("order.h").cast("double") <= F.col("below")).drop("below")
+    # one row per language, of which the models hold a column each
+    rows = rows.join(F.broadcast(counts), "lang").filter(F.col("order.h").cast("double") <= F.col("below")).drop("below")
     ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("order"))).filter(F.col("r") <= sample)
     # at most `sample` rows a language
     chosen = F.broadcast(ranked.groupBy("lang", "order").agg(F.min("r").alias("r")))
