@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanstar.llm.rows import as_batch
@@ -47,8 +47,13 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b); a component is named by its
     smallest node. Smallest labels move along edges and then along labels, so chains shorten
     by more than half a round; every round is stored in the shared folder."""
-    both = edges.union(edges.select("b", "a"))
-    both = stage(both.filter("a <> b").distinct(), "edges")
+    # Tasks name the same sets by different members. Each node keeps its edge to its smallest
+    # neighbour and its other neighbours take it over: these edges repeat and fall together.
+    down = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    least = down.withColumn("least", F.min("b").over(Window.partitionBy("a")))
+    star = least.select("a", F.col("least").alias("b")).union(least.select(F.col("b").alias("a"), F.col("least").alias("b")))
+    star = stage(star.filter("a <> b").distinct(), "stars")
+    both = stage(star.union(star.select("b", "a")).distinct(), "edges")
     label = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")), "labels")
     while True:
         near = both.join(label.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))

@@ -4,7 +4,7 @@ Documents become sets of hashed word shingles; equal sets are one class from the
 partner of a set x with n shingles shares at least T = ceil(threshold * n) of them, so the
 search asks for sets that occur in at least T of x's inverted lists. It is done in two steps.
 
-Across the cluster, on the first p + k shingles in hash order (p = n - T + 1, k = REACH * p):
+Across the cluster, on the first p + k shingles in hash order (p = n - T + 1, k = REACH % of p):
 partners share k + 1 of these, so a set whose first shingles are mostly met nowhere else has
 no partner, and any p of them include a shared one. Each remaining set therefore probes
 the p of its lists that are shortest, restricted to partners that are as large or larger (by
@@ -32,9 +32,11 @@ from gleanstar.session import stage
 
 WORDS = 3
 PERCENT = 90
-REACH = 1
+REACH = 100
 # List lengths are told apart up to this; longer lists all count as longest.
 LENGTHS = 1000
+# Lists per set that join large groups ahead of the complete pass.
+FEW = 4
 # Queries of a block that one task searches.
 SLICE = 2000
 # Weight of DivideSkip's trade between merging and probing.
@@ -105,7 +107,7 @@ def first_shingles(words: int, percent: int, reach: int):
                     seen = set()
                 seen.add(name)
                 p = len(found) - least_overlap(len(found), percent) + 1
-                tokens.append(found[: p * (1 + reach)])
+                tokens.append(found[: p + p * reach // 100])
                 names.append(name)
                 sizes.append(len(found))
                 counts.append(len(tokens[-1]))
@@ -120,36 +122,61 @@ def first_shingles(words: int, percent: int, reach: int):
 _LISTED = pa.schema([*_FIRST, ("length", pa.int64())])
 
 
+def digests(column: pa.Array) -> np.ndarray:
+    """16-byte values as rows of two numbers."""
+    _, offsets, data = column.buffers()
+    wide = pa.types.is_large_binary(column.type)
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset] if len(column) else 0
+    return np.frombuffer(data, np.uint64, 2 * len(column), int(at)).reshape(-1, 2) if len(column) else np.zeros((0, 2), np.uint64)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * 16)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, offsets.buffers()[1], pa.py_buffer(np.ascontiguousarray(rows))])
+
+
 def shared_lists(batches):
     """Rows of the lists that hold at least two sets, with the list's length (up to LENGTHS),
-    from rows sorted by token and set. Equal rows of several tasks count once."""
-    key, held, over, last = None, [], False, None
+    from rows sorted by token and set. Equal rows of several tasks count once. A list that
+    goes on in the next batch is kept until LENGTHS rows of it have been met."""
 
-    def flush():
-        if over or len(held) > 1:
-            return [(key, s, n, len(held)) for s, n in held]
-        return []
+    def rows_out(tokens, s, n, lengths):
+        return as_batch(_LISTED, tokens, _binary(s), n, lengths)
 
+    kept = None  # rows of the last list, not passed on yet
+    long = None  # (token, last set) of a long list that has been passed on so far
     for batch in batches:
-        out = []
-        for token, s, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if token != key:
-                out += flush() if not over else []
-                key, held, over, last = token, [], False, None
-            if s == last:
-                continue
-            last = s
-            if over:
-                out.append((token, s, n, LENGTHS))
-                continue
-            held.append((s, n))
-            if len(held) >= LENGTHS:
-                out += flush()
-                over = True
-        if out:
-            yield as_batch(_LISTED, *zip(*out, strict=True))
-    if not over and (out := flush()):
-        yield as_batch(_LISTED, *zip(*out, strict=True))
+        tokens, s, n = batch.column(0).to_numpy(), digests(batch.column(1)), batch.column(2).to_numpy()
+        if not len(tokens):
+            continue
+        if kept is not None:
+            tokens, s, n = np.concatenate([kept[0], tokens]), np.concatenate([kept[1], s]), np.concatenate([kept[2], n])
+            kept = None
+        fresh = np.ones(len(tokens), bool)
+        fresh[1:] = (tokens[1:] != tokens[:-1]) | (s[1:] != s[:-1]).any(axis=1)
+        if long is not None and tokens[0] == long[0]:
+            # rows that repeat the last one passed on
+            repeats = int(np.argmax(fresh[1:])) + 1 if fresh[1:].any() else len(fresh)
+            if (s[0] == long[1]).all():
+                fresh[:repeats] = False
+        tokens, s, n = tokens[fresh], s[fresh], n[fresh]
+        if not len(tokens):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        lengths = np.diff(np.append(starts, len(tokens)))
+        if long is not None and tokens[0] == long[0]:
+            lengths[0] = LENGTHS
+        size = np.minimum(np.repeat(lengths, np.diff(np.append(starts, len(tokens)))), LENGTHS)
+        last = int(starts[-1])
+        if lengths[-1] >= LENGTHS:
+            long, end = (tokens[-1], s[-1].copy()), len(tokens)
+        else:
+            kept, long, end = (tokens[last:], s[last:], n[last:]), None, last
+        take = np.flatnonzero(size[:end] > 1)
+        if len(take):
+            yield rows_out(tokens[take], s[take], n[take], size[take])
+    if kept is not None and len(kept[0]) > 1:
+        yield rows_out(*kept, np.full(len(kept[0]), len(kept[0])))
 
 
 def probe_forest(batches):
@@ -157,11 +184,28 @@ def probe_forest(batches):
     probing sets first."""
     key, pivot, joined = None, None, UnionFind()
     for batch in batches:
-        for token, size, probe, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if key != (token, size):
-                key, pivot = (token, size), s if probe else None
-            elif pivot is not None and s != pivot:
-                joined.union(s, pivot)
+        token, size, probe = (batch.column(k).to_numpy() for k in range(3))
+        s = digests(batch.column(3))
+        if not len(token):
+            continue
+        first = np.concatenate([[key != (token[0], size[0])], (token[1:] != token[:-1]) | (size[1:] != size[:-1])])
+        starts = np.flatnonzero(first)
+        if not first[0]:
+            # the list goes on from the batch before
+            end = int(starts[0]) if len(starts) else len(token)
+            if pivot is not None:
+                for x in s[:end]:
+                    if (name := x.tobytes()) != pivot:
+                        joined.union(name, pivot)
+        if len(starts):
+            of = np.repeat(starts, np.diff(np.append(starts, len(token))))
+            inner = np.arange(int(starts[0]), len(token))
+            hit = (probe[of] == 1) & (s[inner] != s[of]).any(axis=1)
+            raw = s.tobytes()
+            for a, b in zip(inner[hit].tolist(), of[hit].tolist(), strict=True):
+                joined.union(raw[16 * a : 16 * a + 16], raw[16 * b : 16 * b + 16])
+            begin = int(starts[-1])
+            key, pivot = (token[begin], size[begin]), s[begin].tobytes() if probe[begin] else None
         if len(joined.parent) > 500_000:
             yield edge_batch(joined.edges())
             joined = UnionFind()
@@ -272,6 +316,24 @@ def row_key(id_: Column, h: Column) -> Column:
     return F.struct(id_.isNull().alias("no_id"), F.coalesce(id_, F.lit(0).cast("long")).alias("id"), h.alias("h"))
 
 
+def list_edges(active: DataFrame, held: bool) -> DataFrame:
+    """Edges between the sets that probe a list and, with `held`, all sets it holds.
+
+    active: s, size, tokens (shortest lists first), probes (how many of them are probed).
+    Without `held`, only the FEW longest lists that a set probes: that joins most of a large
+    group at few edges a set, and leaves the rest to the complete pass."""
+    if not held:
+        few = F.slice("tokens", F.greatest(F.col("probes") - FEW + 1, F.lit(1)), F.least(F.col("probes"), F.lit(FEW)))
+        rows = active.select(F.explode(few).alias("token"), "size", F.lit(1).alias("probe"), "s")
+    else:
+        sizes = F.explode(F.array(F.col("size"), F.col("size") + 1))
+        rows = active.select(F.explode(F.slice("tokens", F.lit(1), F.col("probes"))).alias("token"), "size", "s")
+        rows = rows.select("token", sizes.alias("size"), F.lit(1).alias("probe"), "s")
+        rows = rows.union(active.select(F.explode("tokens").alias("token"), "size", F.lit(0).alias("probe"), "s"))
+    by_list = rows.repartition("token", "size").sortWithinPartitions("token", "size", F.desc("probe"), "s")
+    return by_list.mapInArrow(probe_forest, EDGES_DDL)
+
+
 def links_between_sets(rows: DataFrame, found: DataFrame, words: int, percent: int, reach: int) -> DataFrame:
     """Edges (a, b) of set digests whose components are those of all links.
 
@@ -280,13 +342,13 @@ def links_between_sets(rows: DataFrame, found: DataFrame, words: int, percent: i
     ordered = first.repartition("token").sortWithinPartitions("token", "s")
     listed = ordered.mapInArrow(shared_lists, "token long, s binary, n long, length long")
     n_low = _least(F.col("n"), percent)
-    k_low = reach * (n_low - _least(n_low, percent) + 1)
+    k_low = F.floor((n_low - _least(n_low, percent) + 1) * reach / 100)
     own = listed.groupBy("s", "n").agg(F.array_sort(F.collect_list(F.struct("length", "token"))).alias("lists"))
     own = own.withColumn("p", (F.col("n") - n_low + 1).cast("int"))
     # partners share more than k_low of the first shingles, or all they share are first ones
     active = own.filter(F.size("lists") >= F.least(k_low + 1, n_low))
     # shingles met nowhere else are the shortest lists, and give no candidates
-    alone = F.least(F.col("n"), F.col("p") * (1 + reach)) - F.size("lists")
+    alone = F.least(F.col("n"), F.col("p") + F.floor(F.col("p") * reach / 100)) - F.size("lists")
     active = active.select(
         "s",
         F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent + 0.001))).alias("size"),
@@ -294,16 +356,19 @@ def links_between_sets(rows: DataFrame, found: DataFrame, words: int, percent: i
         F.greatest(F.lit(0), F.col("p") - alone).cast("int").alias("probes"),
     )
     active = stage(active, "active_sets")
-    held = active.select(F.explode("tokens").alias("token"), "size", F.lit(0).alias("probe"), "s")
-    sizes = F.explode(F.array(F.col("size"), F.col("size") + 1))
-    probes = active.select(F.explode(F.slice("tokens", F.lit(1), F.col("probes"))).alias("token"), "size", "s")
-    probes = probes.select("token", sizes.alias("size"), F.lit(1).alias("probe"), "s")
-    by_list = probes.union(held).repartition("token", "size").sortWithinPartitions("token", "size", F.desc("probe"), "s")
-    in_block = stage(components(by_list.mapInArrow(probe_forest, EDGES_DDL)), "blocks")
-    members = in_block.groupBy("component").agg(F.ceil(F.count("*") / SLICE).alias("slices"))
+    # First sets that probe the same long lists, then whole blocks of these with all that their
+    # lists hold: members of one large group do not meet again in every list they share.
+    near = stage(components(list_edges(active, held=False)), "probing_blocks").withColumnRenamed("node", "s")
+    active = active.join(near, "s", "left").withColumn("part", F.coalesce("component", "s")).drop("component")
+    active = stage(active, "active_parts")
+    wide = components(list_edges(active.drop("s").withColumnRenamed("part", "s"), held=True)).withColumnRenamed("node", "part")
+    in_block = active.select("s", "part").join(wide, "part", "left").select("s", F.coalesce("component", "part").alias("component"))
+    in_block = stage(in_block, "blocks")
+    members = in_block.groupBy("component").agg(F.count("*").alias("n_members")).filter("n_members > 1")
+    members = members.select("component", F.ceil(F.col("n_members") / SLICE).alias("slices"))
     # one row stands for each set; its text gives the shingles again
     chosen = found.filter("s is not null").groupBy("s").agg(F.min("row").alias("chosen"))
-    chosen = chosen.join(in_block.withColumnRenamed("node", "s"), "s").join(members, "component")
+    chosen = chosen.join(in_block, "s").join(members, "component")
     texts = chosen.join(rows, F.col("chosen") == F.col("row")).select("component", "s", "slices", "text")
     sets = texts.mapInArrow(set_bytes(words), "block binary, s binary, slices long, raw binary")
     mine = F.pmod(F.xxhash64("s"), F.col("slices"))

@@ -19,8 +19,8 @@ def shingles(text, k=3):
     return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1)))
 
 
-def brute(rows, percent=90):
-    sets = [shingles(t) for _, t in rows]
+def brute(rows, percent=90, words=3):
+    sets = [shingles(t, words) for _, t in rows]
     links = UnionFind()
     for i, a in enumerate(sets):
         for j in range(i):
@@ -62,11 +62,15 @@ def families(spark):
     return spark.createDataFrame([(int(k), texts[int(i)]) for k, i in enumerate(order)], "doc_id long, text string").repartition(5)
 
 
-@pytest.mark.parametrize(("percent", "reach"), [(90, 1), (90, 2), (80, 1)])
+@pytest.mark.parametrize(("percent", "reach"), [(90, 100), (90, 230), (80, 100), (80, 25), (50, 0)])
 def test_join_equals_all_pairs(families, percent, reach):
     assert got(families, percent=percent, reach=reach) == brute([tuple(r) for r in families.collect()], percent)
 
 
+def test_other_shingles(families):
+    assert got(families, percent=80, words=5, reach=25) == brute([tuple(r) for r in families.collect()], 80, 5)
+
+
 def test_sliced_blocks_find_the_same(families, monkeypatch):
     monkeypatch.setattr(nj, "SLICE", 2)
     monkeypatch.setattr(nj, "LENGTHS", 4)
