@@ -2,9 +2,7 @@ import os
 import shutil
 
 import pytest
-import test_chunk_bpe
-import test_decontaminate
-import test_ngram_join
+from llm import test_chunk_bpe, test_decontaminate, test_ngram_join
 
 import corpus_pipeline as cp
 from gleanstar.llm.language_id import language_id
