@@ -15,7 +15,10 @@ Within a block, DivideSkip: the T - 1 or fewer longest lists are set aside, the
 are merged, and candidates met often enough are looked up in the long lists by binary search
 until they reach or can no longer reach the overlap. Candidates already linked with the
 query are skipped, so a group of near copies costs one link a set rather than all pairs.
-A large block is searched by several tasks, each with a slice of the queries.
+A block that is larger than a slice is cut into slices of bounded number and bytes, and no
+task holds more than two: each slice is searched by itself, one set of each component found
+is searched with those of the other slices, and then all pairs of slices are searched that
+are not within one component. A family of near copies is one component by then.
 """
 
 from __future__ import annotations
@@ -37,8 +40,9 @@ REACH = 100
 LENGTHS = 1000
 # Lists per set that join large groups ahead of the complete pass.
 FEW = 4
-# Queries of a block that one task searches.
+# Sets of a slice, and bytes of their shingles, on average; a task holds two slices.
 SLICE = 2000
+SLICE_BYTES = 16 * 1024 * 1024
 # Weight of DivideSkip's trade between merging and probing.
 MU = 0.0085
 
@@ -213,32 +217,41 @@ def probe_forest(batches):
         yield edge_batch(edges)
 
 
-def divide_skip(sets: list[np.ndarray], queries, percent: int, links: UnionFind) -> None:
-    """Link each query set with all sets that reach the threshold, by position in `sets`."""
+def divide_skip(sets: list[np.ndarray], queries, percent: int, links: UnionFind, data=None, known=None) -> None:
+    """Link each query set with all sets of `data` (all sets, if not given) that reach the
+    threshold, by position in `sets`; sets that are `known` to be of one component count as linked."""
     sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    flat = np.concatenate(sets)
+    data = np.arange(len(sets)) if data is None else np.asarray(data)
+    owner = np.repeat(data, sizes[data])
+    flat = np.concatenate([sets[k] for k in data])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     tokens, starts = np.unique(flat, return_index=True)
     ends = np.append(starts[1:], len(flat))
-    group = np.arange(len(sets))  # a set's component so far
-    members = {k: [k] for k in range(len(sets))}
+    # a set's component so far
+    group = np.arange(len(sets)) if known is None else np.unique(known, return_inverse=True)[1]
+    members = {}
+    for k, g in enumerate(group.tolist()):
+        members.setdefault(g, []).append(k)
     for q in queries:
+        if len(members[group[q]]) == len(sets):
+            continue
         mine = sets[q]
         n = len(mine)
         least = least_overlap(n, percent)
-        at = np.searchsorted(tokens, mine)
-        lengths = ends[at] - starts[at]
+        at = np.minimum(np.searchsorted(tokens, mine), len(tokens) - 1)
+        lengths = np.where(tokens[at] == mine, ends[at] - starts[at], 0)
         by_length = np.argsort(lengths, kind="stable")
         longest = int(lengths.max())
+        if not longest:
+            continue
         n_long = min(least - 1, int(least / (MU * np.log2(longest + 1) + 1)))
-        short = at[by_length[: n - n_long]]
+        short = by_length[: n - n_long]
         wide = mine[by_length[n - n_long :]]
         # the merge: every set with the number of short lists it occurs in
-        spans = ends[short] - starts[short]
+        spans = lengths[short]
         first = np.cumsum(spans) - spans
-        places = np.arange(int(spans.sum())) - np.repeat(first - starts[short], spans)
+        places = np.arange(int(spans.sum())) - np.repeat(first - starts[at[short]], spans)
         met = np.bincount(owner[places], minlength=len(sets))
         # overlap needed with a set of each size: o >= percent * (n + m) / (100 + percent)
         need = np.maximum(least, -(-percent * (n + sizes) // (100 + percent)))
@@ -261,30 +274,34 @@ def divide_skip(sets: list[np.ndarray], queries, percent: int, links: UnionFind)
                 members[a] += members.pop(b)
 
 
-def search_blocks(percent: int):
-    """Links found in each (block, slice); rows are sorted by block, slice and set."""
+BOTH, QUERY, DATA = 0, 1, 2
+
+
+def search_slices(percent: int):
+    """Links found for each key (block, two slices); rows are sorted by key and set."""
 
     def run(batches):
-        key, names, sets, mine = None, [], [], []
+        key, names, sets, known, sides = None, [], [], [], []
 
         def search():
             links = UnionFind()
-            if len(names) > 1 and mine:
-                divide_skip(sets, mine, percent, links)
+            queries, data = ([k for k, side in enumerate(sides) if side != other] for other in (DATA, QUERY))
+            if len(names) > 1 and queries and data:
+                divide_skip(sets, queries, percent, links, data, known)
             return [(names[a], names[b]) for a, b in links.edges()]
 
         for batch in batches:
             out = []
-            for block, part, s, query, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != (block, part):
+            for block, left, right, side, s, component, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != (block, left, right):
                     out += search()
-                    key, names, sets, mine = (block, part), [], [], []
+                    key, names, sets, known, sides = (block, left, right), [], [], [], []
                 if names and names[-1] == s:
                     continue
-                if query:
-                    mine.append(len(names))
                 names.append(s)
                 sets.append(np.frombuffer(raw, np.uint64))
+                known.append(component)
+                sides.append(side)
             if out:
                 yield edge_batch(out)
         if out := search():
@@ -293,16 +310,16 @@ def search_blocks(percent: int):
     return run
 
 
-_SETS = pa.schema([("block", pa.binary()), ("s", pa.binary()), ("slices", pa.int64()), ("raw", pa.binary())])
+_SETS = pa.schema([("block", pa.binary()), ("s", pa.binary()), ("n", pa.int64()), ("slices", pa.int64()), ("raw", pa.binary())])
 
 
 def set_bytes(words: int):
     def run(batches):
         for batch in batches:
             raw = [b""] * batch.num_rows
-            for row, tokens in shingle_sets(batch, 3, words):
+            for row, tokens in shingle_sets(batch, 4, words):
                 raw[row] = tokens.tobytes()
-            yield as_batch(_SETS, batch.column(0), batch.column(1), batch.column(2), raw)
+            yield as_batch(_SETS, *batch.columns[:4], raw)
 
     return run
 
@@ -334,6 +351,78 @@ def list_edges(active: DataFrame, held: bool) -> DataFrame:
     return by_list.mapInArrow(probe_forest, EDGES_DDL)
 
 
+def n_slices() -> Column:
+    """Slices that the sets of a group need."""
+    return F.ceil(F.greatest(F.count("*") / SLICE, F.sum("n") * 8 / SLICE_BYTES))
+
+
+def searched(rows: DataFrame, percent: int) -> DataFrame:
+    """Links of rows (block, left, right, side, s, component, raw); left and right name the slices."""
+    rows = rows.select("block", "left", "right", "side", "s", "component", "raw")
+    dealt = rows.repartition("block", "left", "right").sortWithinPartitions("block", "left", "right", "s")
+    return dealt.mapInArrow(search_slices(percent), EDGES_DDL)
+
+
+def by_themselves(sets: DataFrame) -> DataFrame:
+    """Each slice alone; sets has block, s, slices, raw."""
+    part = F.pmod(F.xxhash64("s"), F.col("slices")).cast("string")
+    return sets.select("block", part.alias("left"), part.alias("right"), F.lit(BOTH).alias("side"), "s", F.col("s").alias("component"), "raw")
+
+
+def across(sets: DataFrame, named: DataFrame) -> DataFrame:
+    """All pairs of slices of a block but those within one component.
+
+    named: block, s, n, component. A component of more than a slice has its own slices, so
+    pairs of these need no search; the sets of all other components of a block share slices."""
+    own = named.groupBy("block", "component").agg(n_slices().alias("k"), F.count("*").alias("sets"), F.sum("n").alias("n"))
+    own = stage(own, "slices_of_components")
+    wide = own.filter("k > 1").select("block", "component", "k")
+    rest = own.filter("k = 1").groupBy("block")
+    rest = rest.agg(F.ceil(F.greatest(F.sum("sets") / SLICE, F.sum("n") * 8 / SLICE_BYTES)).alias("rest"))
+    place = named.join(wide, ["block", "component"], "left").join(rest, "block", "left")
+    part = F.pmod(F.xxhash64("s"), F.coalesce("k", "rest"))
+    name = lambda owner, part: F.concat_ws("/", F.hex(owner), part)
+    place = place.select("s", "component", name(F.when(F.col("k").isNotNull(), F.col("component")), part).alias("slice"))
+    numbers = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1)).alias("part")
+    slices = wide.select("block", F.col("component").alias("owner"), numbers("k"))
+    slices = slices.union(rest.select("block", F.lit(None).cast("binary"), numbers("rest")))
+    slices = slices.select("block", "owner", name(F.col("owner"), F.col("part")).alias("left"))
+    other = slices.select("block", F.col("owner").alias("other"), F.col("left").alias("right"))
+    pairs = slices.join(other, "block").filter("left <= right and (owner = other) is not true")
+    pairs = stage(pairs.select("block", "left", "right"), "slice_pairs")
+    placed = sets.select("block", "s", "raw").join(place, "s")
+    side = F.when(F.col("left") == F.col("right"), BOTH).otherwise(QUERY).alias("side")
+    queries = placed.withColumnRenamed("slice", "left").join(pairs, ["block", "left"])
+    data = placed.withColumnRenamed("slice", "right").join(pairs.filter("left < right"), ["block", "right"])
+    columns = ["block", "left", "right", "s", "component", "raw"]
+    return queries.select(*columns, side).unionByName(data.select(*columns, F.lit(DATA).alias("side")))
+
+
+def links_in_blocks(sets: DataFrame, percent: int) -> DataFrame:
+    """Edges whose components are those of all links; sets (stored): block, s, n, slices, raw.
+    Rows with the id and the text of a chosen one repeat its set."""
+    found = stage(searched(by_themselves(sets), percent), "links")
+    large = sets.filter("slices > 1")
+    before = large.count()
+    if not before:
+        return found
+    while True:
+        # blocks share no set, so an edge belongs to the block of either end
+        inner = found.join(large.select(F.col("s").alias("a")), "a", "left_semi").select("a", "b")
+        named = large.select("block", "s", "n").distinct().join(components(inner).withColumnRenamed("node", "s"), "s", "left")
+        named = stage(named.withColumn("component", F.coalesce("component", "s")), "sets_of_components")
+        # the set that names a component stands for it, as long as that leaves half as many
+        heads = named.filter("s = component")
+        now = heads.count()
+        if 2 * now > before:
+            break
+        slices = heads.groupBy("block").agg(n_slices().alias("slices"), F.count("*").alias("heads")).filter("heads > 1").drop("heads")
+        again = large.drop("slices").join(heads.select("s"), "s", "left_semi").join(slices, "block")
+        found = stage(found.union(searched(by_themselves(again), percent)), "links")
+        before = now
+    return found.union(searched(across(large, named), percent))
+
+
 def links_between_sets(rows: DataFrame, found: DataFrame, words: int, percent: int, reach: int) -> DataFrame:
     """Edges (a, b) of set digests whose components are those of all links.
 
@@ -351,6 +440,7 @@ def links_between_sets(rows: DataFrame, found: DataFrame, words: int, percent: i
     alone = F.least(F.col("n"), F.col("p") + F.floor(F.col("p") * reach / 100)) - F.size("lists")
     active = active.select(
         "s",
+        "n",
         F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent + 0.001))).alias("size"),
         F.transform("lists", lambda x: x["token"]).alias("tokens"),
         F.greatest(F.lit(0), F.col("p") - alone).cast("int").alias("probes"),
@@ -362,21 +452,16 @@ def links_between_sets(rows: DataFrame, found: DataFrame, words: int, percent: i
     active = active.join(near, "s", "left").withColumn("part", F.coalesce("component", "s")).drop("component")
     active = stage(active, "active_parts")
     wide = components(list_edges(active.drop("s").withColumnRenamed("part", "s"), held=True)).withColumnRenamed("node", "part")
-    in_block = active.select("s", "part").join(wide, "part", "left").select("s", F.coalesce("component", "part").alias("component"))
+    in_block = active.select("s", "n", "part").join(wide, "part", "left").select("s", "n", F.coalesce("component", "part").alias("block"))
     in_block = stage(in_block, "blocks")
-    members = in_block.groupBy("component").agg(F.count("*").alias("n_members")).filter("n_members > 1")
-    members = members.select("component", F.ceil(F.col("n_members") / SLICE).alias("slices"))
+    members = in_block.groupBy("block").agg(n_slices().alias("slices"), F.count("*").alias("n_members"))
+    members = members.filter("n_members > 1").drop("n_members")
     # one row stands for each set; its text gives the shingles again
     chosen = found.filter("s is not null").groupBy("s").agg(F.min("row").alias("chosen"))
-    chosen = chosen.join(in_block, "s").join(members, "component")
-    texts = chosen.join(rows, F.col("chosen") == F.col("row")).select("component", "s", "slices", "text")
-    sets = texts.mapInArrow(set_bytes(words), "block binary, s binary, slices long, raw binary")
-    mine = F.pmod(F.xxhash64("s"), F.col("slices"))
-    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))
-    sliced = sets.select("block", parts.alias("part"), "s", mine.alias("own"), "raw")
-    sliced = sliced.select("block", "part", "s", (F.col("part") == F.col("own")).alias("query"), "raw")
-    sliced = sliced.repartition("block", "part").sortWithinPartitions("block", "part", "s")
-    return sliced.mapInArrow(search_blocks(percent), EDGES_DDL)
+    chosen = chosen.join(in_block, "s").join(members, "block")
+    texts = chosen.join(rows, F.col("chosen") == F.col("row")).select("block", "s", "n", "slices", "text")
+    sets = texts.mapInArrow(set_bytes(words), "block binary, s binary, n long, slices long, raw binary")
+    return links_in_blocks(stage(sets, "block_sets"), percent)
 
 
 def near_classes(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, reach: int) -> DataFrame:

@@ -77,6 +77,27 @@ def test_sliced_blocks_find_the_same(families, monkeypatch):
     assert got(families) == brute([tuple(r) for r in families.collect()])
 
 
+def test_no_task_gets_a_whole_family(spark, monkeypatch):
+    """A family of near copies is sent a few times over, in slices."""
+    base = [f"w{k}" for k in range(300)]
+    texts = [" ".join([*base[: 3 + k % 290], f"x{k}", *base[3 + k % 290 :]]) for k in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    per_task = []
+    searched = nj.searched
+
+    def counted(rows, percent):
+        per_task.extend(r["count"] for r in rows.groupBy("block", "left", "right").count().collect())
+        return searched(rows, percent)
+
+    monkeypatch.setattr(nj, "searched", counted)
+    for name, size in (("SLICE", 40), ("SLICE_BYTES", 40 * 8 * 300)):
+        per_task.clear()
+        with monkeypatch.context() as m:
+            m.setattr(nj, name, size)
+            assert {r.component_id for r in nj.ngram_jaccard_join(df).collect()} == {0}
+        assert len(per_task) > 10 and max(per_task) < 4 * 40 and sum(per_task) < 3 * 400
+
+
 def test_on_odd_rows(odd_documents):
     assert got(odd_documents) == brute([(r.doc_id, r.text) for r in odd_documents.collect()])
     assert nj.ngram_jaccard_join(odd_documents.limit(0)).count() == 0
