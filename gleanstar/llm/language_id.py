@@ -8,7 +8,10 @@ the one with the lowest cross-entropy per character. A part of the sample is not
 from: it calibrates the score (a softmax with the temperature of least log loss) and the
 cross-entropy beyond which a language's texts are rejected.
 
-Characters other than letters count as one blank; letters are lower-cased.
+Characters other than letters count as one blank; letters are lower-cased. A letter beyond
+U+FFFF is two places of an n-gram, its UTF-16 surrogates, so any four places fit one 64-bit key
+and no two letters share a code; its probability is the product of both, and it counts as one
+character.
 """
 
 from __future__ import annotations
@@ -41,22 +44,29 @@ _BITS = np.uint64(16)
 
 @lru_cache(maxsize=1)
 def letter_codes() -> np.ndarray:
-    """Lower-cased code (modulo 2**16) of each letter, blank for all else; 0 begins a text."""
-    out = np.full(0x110000, 32, np.uint16)
+    """Lower-cased code point of each letter, blank for all else; 0 begins a text."""
+    out = np.full(0x110000, 32, np.uint32)
     for c in range(1, 0x110000):
         if not 0xD800 <= c < 0xE000 and (s := chr(c)).isalpha():
             low = s.lower()
-            out[c] = (ord(low) if len(low) == 1 else c) & 0xFFFF
+            out[c] = ord(low) if len(low) == 1 else c
     out[0] = 0
     return out
 
 
 def _codes(text: str) -> np.ndarray:
-    """Codes of a joined string in which NUL begins each text, runs of blanks as one."""
+    """UTF-16 codes of a joined string in which NUL begins each text, runs of blanks as one."""
     c = letter_codes()[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
     keep = np.ones(len(c), bool)
     keep[1:] = (c[1:] != 32) | (c[:-1] != 32)
-    return c[keep]
+    c = c[keep]
+    far = c > 0xFFFF
+    if far.any():
+        beyond = c[far] - 0x10000
+        first = np.flatnonzero(far) + np.arange(len(beyond))
+        c = np.repeat(c, far + 1)
+        c[first], c[first + 1] = 0xD800 + (beyond >> 10), 0xDC00 + (beyond & 0x3FF)
+    return c.astype(np.uint16)
 
 
 def keyed(codes: np.ndarray) -> np.ndarray:
@@ -221,8 +231,10 @@ class Model:
             p = self.log_p(keyed(codes)[here])
             edges = np.flatnonzero(np.diff(rows, prepend=-1))
             total[first + rows[edges]] += np.add.reduceat(p, edges, axis=0, dtype=np.float64)
-            chars[first : first + n] += np.bincount(rows, minlength=n)
-            letters[first : first + n] += np.bincount(rows, codes[here] != 32, minlength=n).astype(np.int64)
+            # the second of two surrogates is no character of its own
+            one = codes[here] & 0xFC00 != 0xDC00
+            chars[first : first + n] += np.bincount(rows, one, minlength=n)
+            letters[first : first + n] += np.bincount(rows, one & (codes[here] != 32), minlength=n).astype(np.int64)
         return -total / np.maximum(chars, 1)[:, None], letters
 
     def calibrate(self, entropies: np.ndarray, truth: np.ndarray) -> None:

@@ -88,6 +88,24 @@ def test_long_texts_score_as_whole(monkeypatch):
     assert np.allclose(whole, parts, rtol=1e-6) and letters.tolist() == again.tolist() and letters[3] == letters[4] == 0
 
 
+def test_letters_beyond_the_first_plane():
+    """They neither begin a text nor are blanks, and no two are the same."""
+    model = trained()
+    texts = ["ab\U00010000ab", "cdcd dcc", "\U00020020\U00020020", "a\U00020000\U00030000 b", "", "abab", "\U00010400 \U0001f600"]
+    got, letters = model.cross_entropies(texts)
+    alone = [model.cross_entropies([t]) for t in texts]
+    assert letters.tolist() == [5, 7, 2, 4, 0, 4, 1] == [int(n[0]) for _, n in alone]
+    assert np.allclose(got, np.concatenate([h for h, _ in alone]))
+    codes = [li._codes(c).tolist() for c in ("\U00010000", "\U00020000", "\U00030000", "\U00020020", "\U00010428", "\u4e00")]
+    assert len(set(map(tuple, codes))) == 6 and li._codes("\U00010400").tolist() == codes[4]
+    counts = {}
+    for lang, c in (("xx", "\U00020000"), ("yy", "\U00030000")):
+        ((_, _, own, _, _),) = li.coded_groups([c * 20])
+        counts[lang] = np.unique(li.keyed(own)[own != 0], return_counts=True)
+    h, _ = li.Model(counts).cross_entropies(["\U00020000" * 5, "\U00030000" * 5])
+    assert h.argmin(axis=1).tolist() == [0, 1]
+
+
 def test_odd_rows(spark, odd_documents):
     got = li.language_id(odd_documents, sample=50).collect()
     assert len(got) == odd_documents.count()
