@@ -105,3 +105,59 @@ TEMPLATES: dict[str, str] = {
     misrepresented as being the original software. 3. This notice may not be removed or altered from any source
     distribution.""",
 }
+
+# Statements by licence and title, each in all wordings: a short statement shares too few word
+# bigrams with another wording, or more with that of another version than with its own.
+_WORDINGS = (
+    "Licensed under the {}.",
+    "Released under the {}.",
+    "Distributed under the {}.",
+    "This project is licensed under the {}.",
+    "This work is licensed under the {}.",
+    "This software is released under the {}.",
+)
+_TITLES = {
+    "0BSD": ["Zero-Clause BSD License"],
+    "Apache-2.0": ["Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 License"],
+    "BSD": ["BSD License"],
+    "BSD-2-Clause": ["BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License"],
+    "BSL-1.0": ["Boost Software License 1.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0"],
+    "ISC": ["ISC License"],
+    "MIT": ["MIT License"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0"],
+    "Unlicense": ["Unlicense"],
+    "Zlib": ["zlib License"],
+}
+for _short, _kind, _versions in (("GPL", "", "23"), ("LGPL", "Lesser ", ("2.1", "3")), ("AGPL", "Affero ", "3")):
+    for _v in _versions:
+        _long = f"GNU {_kind}General Public License"
+        _full = _v if "." in _v else f"{_v}.0"
+        _TITLES[f"{_short}-{_full}"] = list(dict.fromkeys([f"{_long}, version {_v}", f"{_long} v{_full}", f"{_long}, version {_full}", f"{_short} v{_v}", f"{_short}v{_v}"]))
+_STATEMENTS = {name: [w.format(t) for t in titles for w in _WORDINGS] for name, titles in _TITLES.items()}
+for _short, _long in (
+    ("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-NC", "-NonCommercial"), ("BY-ND", "-NoDerivatives"),
+    ("BY-NC-SA", "-NonCommercial-ShareAlike"), ("BY-NC-ND", "-NonCommercial-NoDerivatives"),
+):
+    for _v, _port in (("4.0", "International"), ("3.0", "Unported")):
+        _title = f"Creative Commons Attribution{_long} {_v}"
+        _STATEMENTS[f"CC-{_short}-{_v}"] = [
+            f"Licensed under CC {_short} {_v}.",
+            f"Licensed under a {_title} {_port} License.",
+            f"This work is licensed under a {_title} {_port} License.",
+            f"This work is licensed under a {_title} License.",
+        ]
+_STATEMENTS["CC-BY-4.0"].append("This work is licensed under CC BY 4.0.")
+_STATEMENTS["CC-BY-3.0"].append("This work is licensed under CC BY 3.0.")
+
+_GPL3, _LGPL2 = TEMPLATES["GPL-3.0-notice"], TEMPLATES["LGPL-2.1-notice"]
+TEMPLATES["LGPL-3.0-notice"] = _GPL3.replace("General Public", "Lesser General Public")
+TEMPLATES["LGPL-2.0-notice"] = _LGPL2.replace("Lesser", "Library").replace("version 2.1", "version 2")
+_had = {" ".join(t.lower().split()) for t in TEMPLATES.values()}
+for _name, _texts in _STATEMENTS.items():
+    for _k, _text in enumerate(_texts, 1):
+        # the first ones keep their names
+        if _text.lower() not in _had:
+            _key = f"{_name}-statement"
+            TEMPLATES[_key if _key not in TEMPLATES else f"{_key}-{_k}"] = _text

@@ -83,3 +83,21 @@ def test_shared_data(spark):
     got = ls.license_scan(table(spark, "/root/testdata/sf0.01", "documents"))
     lines = table(spark, "/root/testdata/sf0.01", "documents").filter("text like '%Released under the MIT License.%'")
     assert lines.join(got.filter("array_contains(licenses, 'MIT-statement')"), "doc_id", "left_anti").count() == 0
+
+
+def test_statements_of_no_sample_table(spark):
+    """Versions and variants get their own names."""
+    want = {
+        "Licensed under the MIT License.": "MIT", "Licensed under the Apache License 2.0.": "Apache-2.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Released under the BSD License.": "BSD",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "This project is licensed under the GPLv2.": "GPL-2.0", "Released under the BSD 2-Clause License.": "BSD-2-Clause",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "CC-BY-NC-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 3.0 Unported License.": "CC-BY-NC-ND-3.0",
+        TEMPLATES["GPL-3.0-notice"].replace("General Public", "Lesser General Public"): "LGPL-3.0",
+    }
+    df = spark.createDataFrame(list(enumerate(f"Before.\n{t}\nafter" for t in want)), "doc_id long, text string")
+    got = {r.doc_id: re.sub(r"-(statement(-\d+)?|notice)$", "", r.license or "") for r in ls.license_scan(df).collect()}
+    assert [got[k] for k in range(len(want))] == list(want.values())
