@@ -4,6 +4,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
@@ -33,6 +34,15 @@ def test_query_equals_oracle(spark, duck, name):
     assert outcome.startswith("ok"), outcome
 
 
+def test_a_wrong_median_does_not_pass(spark, monkeypatch):
+    from contract import profiling
+
+    real = profiling.p.duration_distribution
+    monkeypatch.setattr(profiling.p, "duration_distribution", lambda *a, **k: real(*a, **k).withColumn("p50", F.col("min_val")))
+    (row,) = QUERIES["duration_distribution_sketch"](spark, SF_DIR).collect()
+    assert row.n > 0 and not row.ordered
+
+
 def test_entry(spark):
     out = entry.entry(spark)
     assert out.count() > 0 and "on_time_pct" in out.columns
