@@ -28,9 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanstar.llm.encoder import encoder, groups_of
+from gleanstar.llm.encoder import encoder
 from gleanstar.llm.files import new_folder, open_shards, write_arrays
-from gleanstar.llm.rows import _BASE, _INVERSE, _VALUES, as_batch, blocks, configure_batches, mix, powers, text_buffer, text_hash, text_or_empty
+from gleanstar.llm.rows import _BASE, _INVERSE, _VALUES, as_batch, blocks, configure_batches, mix, powers, release, text_buffer, text_hash, text_or_empty
 from gleanstar.session import stage
 
 WINDOW = 16
@@ -56,16 +56,18 @@ def cut_points(data: np.ndarray, offsets: np.ndarray, mean: int = MEAN) -> np.nd
 
 
 def chunked(batch: pa.RecordBatch, column: int, mean: int):
-    """(row, bytes of the text, chunk edges) for each row of a batch."""
+    """(row, bytes of the text, chunk edges) for the rows of each block of a batch."""
     data, offsets = text_buffer(batch.column(column))
     for first, part, at in blocks(data, offsets):
         cuts = cut_points(part, at, mean)
         raw = part.tobytes()
         of = np.searchsorted(cuts, at)
+        out = []
         for k in range(len(at) - 1):
             inner = cuts[of[k] : of[k + 1]]
             inner = inner[inner > at[k]]
-            yield first + k, raw[at[k] : at[k + 1]], [0, *(inner - at[k]).tolist(), int(at[k + 1] - at[k])]
+            out.append((first + k, raw[at[k] : at[k + 1]], [0, *(inner - at[k]).tolist(), int(at[k + 1] - at[k])]))
+        yield out
 
 
 _SEEN = pa.schema([("d0", pa.int64()), ("d1", pa.int64()), ("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64())])
@@ -89,17 +91,19 @@ def count_chunks(mean: int):
         seen = {}
         for batch in batches:
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for row, raw, edges in chunked(batch, 2, mean):
-                for a, b in zip(edges, edges[1:], strict=False):
-                    digest = xxhash.xxh3_128_digest(raw[a:b])
-                    owner = (ids[row], hashes[row])
-                    old = seen.get(digest)
-                    seen[digest] = (*owner, 1) if old is None else (*_lower(old[:2], owner), old[2] + 1)
-                if len(seen) > TABLE:
-                    yield flush(seen)
-                    seen = {}
+            for block in chunked(batch, 2, mean):
+                for row, raw, edges in block:
+                    for a, b in zip(edges, edges[1:], strict=False):
+                        digest = xxhash.xxh3_128_digest(raw[a:b])
+                        owner = (ids[row], hashes[row])
+                        old = seen.get(digest)
+                        seen[digest] = (*owner, 1) if old is None else (*_lower(old[:2], owner), old[2] + 1)
+                    if len(seen) > TABLE:
+                        yield flush(seen)
+                        seen = {}
         if seen:
             yield flush(seen)
+        release()
 
     return run
 
@@ -133,15 +137,19 @@ def find(shards, firsts: np.ndarray, d0: np.ndarray, d1: np.ndarray) -> list:
     if not len(firsts):
         return out
     where = np.searchsorted(firsts, d0, "right") - 1
-    for s in np.unique(where[where >= 0]):
+    for s in np.unique(where[where >= 0]).tolist():
         shard, rows = shards[s], np.flatnonzero(where == s)
-        at = np.searchsorted(shard["d0"], d0[rows])
-        for r, k in zip(rows.tolist(), at.tolist(), strict=True):
-            while k < len(shard["d0"]) and shard["d0"][k] == d0[r]:
-                if shard["d1"][k] == d1[r]:
-                    out[r] = (s, k)
-                    break
-                k += 1
+        known, at = shard["d0"], np.searchsorted(shard["d0"], d0[rows])
+        inside = at < len(known)
+        rows, at = rows[inside], at[inside]
+        while len(rows):  # digests that share their first half stand together
+            same = known[at] == d0[rows]
+            rows, at = rows[same], at[same]
+            hit = shard["d1"][at] == d1[rows]
+            for r, k in zip(rows[hit].tolist(), at[hit].tolist(), strict=True):
+                out[r] = (s, k)
+            rows, at = rows[~hit], at[~hit] + 1
+            rows, at = rows[at < len(known)], at[at < len(known)]
     return out
 
 
@@ -190,30 +198,35 @@ def encode_owned(tokenizer: str, mean: int, files, firsts):
         shards, code, starts = open_shards(files), encoder(tokenizer), np.array(firsts, np.int64)
         for batch in batches:
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows, parts = [], []
-            for row, raw, edges in chunked(batch, 2, mean):
-                rows += [row] * (len(edges) - 1)
-                parts += [raw[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-            if not parts:
-                continue
-            digests = _digests(parts)
-            own = {}
-            for k, place in enumerate(find(shards, starts, digests[:, 0], digests[:, 1])):
-                if place is not None:
-                    shard, at = shards[place[0]], place[1]
-                    id_ = None if shard["null"][at] else int(shard["id"][at])
-                    if (id_, int(shard["h"][at])) == (ids[rows[k]], hashes[rows[k]]):
-                        own[digests[k].tobytes()] = parts[k].decode()
-            if own:
-                thirds = [split_chunk(t) or (t, "", "") for t in own.values()]
-                head, middle, tail = (code.encode_all(list(x)) for x in zip(*thirds, strict=True))
-                keys = np.frombuffer(b"".join(own), "<i8").reshape(-1, 2)
-                whole = [a + b + c for a, b, c in zip(head, middle, tail, strict=True)]
-                yield as_batch(_STORED, keys[:, 0], keys[:, 1], list(map(len, head)), list(map(len, tail)), whole)
+            for block in chunked(batch, 2, mean):
+                rows = [row for row, _, edges in block for _ in edges[1:]]
+                parts = [raw[a:b] for _, raw, edges in block for a, b in zip(edges, edges[1:], strict=False)]
+                digests = _digests(parts)
+                own = {}
+                for k, place in enumerate(find(shards, starts, digests[:, 0], digests[:, 1])):
+                    if place is not None:
+                        shard, at = shards[place[0]], place[1]
+                        id_ = None if shard["null"][at] else int(shard["id"][at])
+                        if (id_, int(shard["h"][at])) == (ids[rows[k]], hashes[rows[k]]):
+                            own[digests[k].tobytes()] = parts[k].decode()
+                if own:
+                    thirds = [split_chunk(t) or (t, "", "") for t in own.values()]
+                    head, middle, tail = (encoded_list(code, list(x)) for x in zip(*thirds, strict=True))
+                    keys = np.frombuffer(b"".join(own), "<i8").reshape(-1, 2)
+                    whole = [a + b + c for a, b, c in zip(head, middle, tail, strict=True)]
+                    yield as_batch(_STORED, keys[:, 0], keys[:, 1], list(map(len, head)), list(map(len, tail)), whole)
+        release()
 
     return run
 
 
+def encoded_list(code, texts: list[str]) -> list[bytes]:
+    """The ids of many texts."""
+    ids, offsets = code.encode(pa.array(texts, pa.large_string()))
+    raw, cuts = ids.tobytes(), (4 * offsets).tolist()
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def assemble(runs: list, code) -> bytes:
     """Ids of a text from its runs (text, stored thirds or None), repaired at their joins."""
     out: list[bytes] = []
@@ -275,36 +288,35 @@ def encode_documents(tokenizer: str, mean: int, files, firsts, schema: pa.Schema
         numbers = [str(i) for i in range(len(code.tokens))]
         for batch in batches:
             names = batch.column(0).to_pylist()
-            texts = list(chunked(batch, 2, mean))
-            parts = [raw[a:b] for _, raw, edges in texts for a, b in zip(edges, edges[1:], strict=False)]
-            digests = _digests(parts) if parts else np.zeros((0, 2), np.int64)
-            places = find(shards, starts, digests[:, 0], digests[:, 1])
-            at, ids = 0, [b""] * len(names)
-            whole = []
-            for row, raw, edges in texts:
-                own = places[at : at + len(edges) - 1]
-                at += len(edges) - 1
-                if any(p is not None for p in own):
-                    ids[row] = assemble(_runs(raw, edges, own, shards), code)
-                else:
-                    whole.append((row, raw.decode()))
-            rows = iter(whole)
-            for group in groups_of([t for _, t in whole]):
-                for raw in code.encode_all(group):
-                    ids[next(rows)[0]] = raw
-            columns = [names, [len(i) // 4 for i in ids], [], []]
-            decoded = []
-            for raw in ids:
-                numbered = np.frombuffer(raw, "<u4")
-                listed = numbered.tolist()
-                columns[2].append(hashlib.sha256(" ".join(map(numbers.__getitem__, listed)).encode()).hexdigest())
-                text = code.decode(numbered)
-                columns[3].append(hashlib.sha256(text.encode()).hexdigest())
+            for block in chunked(batch, 2, mean):
+                parts = [raw[a:b] for _, raw, edges in block for a, b in zip(edges, edges[1:], strict=False)]
+                digests = _digests(parts)
+                places = find(shards, starts, digests[:, 0], digests[:, 1])
+                del parts
+                at, ids, whole = 0, [b""] * len(block), []
+                for k, (_, raw, edges) in enumerate(block):
+                    own = places[at : at + len(edges) - 1]
+                    at += len(edges) - 1
+                    if any(p is not None for p in own):
+                        ids[k] = assemble(_runs(raw, edges, own, shards), code)
+                    else:
+                        whole.append(k)
+                for k, raw in zip(whole, encoded_list(code, [block[k][1].decode() for k in whole]), strict=True):
+                    ids[k] = raw
+                columns = [[names[row] for row, _, _ in block], [len(i) // 4 for i in ids], [], []]
+                decoded = []
+                for raw in ids:
+                    numbered = np.frombuffer(raw, "<u4")
+                    listed = numbered.tolist()
+                    columns[2].append(hashlib.sha256(" ".join(map(numbers.__getitem__, listed)).encode()).hexdigest())
+                    text = code.decode(numbered)
+                    columns[3].append(hashlib.sha256(text.encode()).hexdigest())
+                    if with_ids:
+                        decoded.append(text)
                 if with_ids:
-                    decoded.append(text)
-            if with_ids:
-                columns += [ids, decoded]
-            yield as_batch(schema, *columns)
+                    columns += [ids, decoded]
+                yield as_batch(schema, *columns)
+        release()
 
     return run
 

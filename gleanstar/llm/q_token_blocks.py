@@ -1,9 +1,10 @@
+import public_tokenizers
+
 from gleanstar.llm.registry import query, table
 from gleanstar.llm.token_blocks import token_blocks
 
-# Files of public tokenizers, where the machines that run the tasks have them.
-TOKENIZERS = "/opt/tokenizers"
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+# A vocabulary file that the machines that run the tasks have as well.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 @query("op7_token_blocks")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 
 import numpy as np
@@ -67,6 +68,15 @@ def as_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     )
 
 
+def release() -> None:
+    """Hand the memory that a finished task no longer needs back to the system: workers live
+    on, and a later stage shares their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 # Word bytes: ASCII capitals lower-cased, separators [\x20\x09-\x0D] as 0.
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32

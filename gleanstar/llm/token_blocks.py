@@ -22,17 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanstar.llm.encoder import encoder, groups_of
+from gleanstar.llm.encoder import encoder, text_groups
 from gleanstar.llm.files import RangeReader, new_folder, write_file
-from gleanstar.llm.rows import as_batch, configure_batches, text_or_empty
+from gleanstar.llm.rows import as_batch, configure_batches, release, text_or_empty
 
 BLOCK = 256
 # Share of a block's differences that must fit the packed width.
 PERCENTILE = 0.9
-SEGMENT_IDS = 1 << 20
-SEGMENTS_A_TASK = 4
-# Pieces of text and words a worker keeps encoded; it has little else to hold here.
-PIECES = 700_000
+# Bytes of text whose ids make a segment (one text may be longer).
+SEGMENT = 5 << 20
+SEGMENTS_A_TASK = 2
 _INDEX = np.dtype([("start", "<u8"), ("low", "<u4"), ("first_exception", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 _EXCEPTION = np.dtype([("at", "<u2"), ("value", "<u4")])
 
@@ -93,12 +92,12 @@ def unpack(index: np.ndarray, exceptions: np.ndarray, payload: np.ndarray, n: in
     return out.reshape(-1)[:n]
 
 
-def _segment(doc_ids: list, counts: list[int], ids: np.ndarray, percentile: float) -> bytes:
+def _segment(doc_ids: pa.Array, counts: np.ndarray, ids: np.ndarray, percentile: float) -> bytes:
     index, exceptions, payload = pack(ids, percentile)
-    given = np.array([i is not None for i in doc_ids], np.uint8)
+    given = doc_ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
     head = struct.pack("<5Q", len(doc_ids), len(ids), len(index), len(exceptions), len(payload))
-    names = np.array([i or 0 for i in doc_ids], "<i8")
-    return b"".join([head, names.tobytes(), given.tobytes(), np.array(counts, "<u8").tobytes(), index.tobytes(), exceptions.tobytes(), payload])
+    names = doc_ids.fill_null(0).to_numpy().astype("<i8")
+    return b"".join([head, names.tobytes(), given.tobytes(), counts.astype("<u8").tobytes(), index.tobytes(), exceptions.tobytes(), payload])
 
 
 def _read_segment(raw) -> tuple[list, np.ndarray, np.ndarray]:
@@ -129,33 +128,24 @@ def write_tokens(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        code, end = encoder(tokenizer, PIECES), np.array([end_id], "<u4").tobytes()
+        code = encoder(tokenizer)
         found = []
 
         def segments():
-            names, counts, ids, size, at = [], [], [], 0, 0
+            at = 0
             for batch in batches:
-                rows = iter(batch.column(0).to_pylist())
-                for group in groups_of(batch.column(1).to_pylist()):
-                    for raw in code.encode_all(group):
-                        names.append(next(rows))
-                        counts.append(len(raw) // 4 + 1)
-                        ids += [raw, end]
-                        size += counts[-1]
-                        if size >= SEGMENT_IDS:
-                            out = _segment(names, counts, np.frombuffer(b"".join(ids), "<u4"), percentile)
-                            found.append((at, len(out), size))
-                            at += len(out)
-                            yield out
-                            names, counts, ids, size = [], [], [], 0
-            if names:
-                out = _segment(names, counts, np.frombuffer(b"".join(ids), "<u4"), percentile)
-                found.append((at, len(out), size))
-                yield out
+                for first, texts in text_groups(batch.column(1), SEGMENT):
+                    ids, offsets = code.encode(texts)
+                    ids = np.insert(ids, offsets[1:], np.uint32(end_id))
+                    out = _segment(batch.column(0).slice(first, len(texts)), np.diff(offsets) + 1, ids, percentile)
+                    found.append((at, len(out), len(ids)))
+                    at += len(out)
+                    yield out
             # the list of segments and its length end the file
             yield np.array(found, "<i8").tobytes() + struct.pack("<Q", len(found))
 
         file = write_file(folder, f"tokens-{part:06d}", segments())
+        release()
         if found:
             rows = [(file, at, length, part, k, n) for k, (at, length, n) in enumerate(found)]
             yield as_batch(_WRITTEN, *zip(*rows, strict=True))

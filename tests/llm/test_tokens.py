@@ -1,7 +1,9 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -31,14 +33,15 @@ def brute(library, docs, end=1):
     return out
 
 
-@pytest.mark.parametrize("pieces", [400_000, 50])
-def test_encoder_equals_library(library, pieces):
+@pytest.mark.parametrize("size", [1 << 26, 20_000])
+def test_encoder_equals_library(library, size):
     texts = [
         "", " ", "Hello, world!! don't it's we'll", "naïve café's é ́abc ﬁn", "a\x1cb \x85c\xa0d　e",
         "<|endoftext|>x <|STARTOFTEXT|> <|startoftext|>", "ΟΔΥΣΣΕΥΣ ΑΣ. İstanbul Straße ŒUVRE", "12345 a1b2 ___ --- .,;'", "日本語 テキスト 한글 각",
         "Æon ªº µm ŉ Ǆ", "tabs\tand\r\nlines\n\n", "x" * 5000, "(a) [b] {c} 'tis 's't", "end.' next,'s", "\x00 \x7f",
+        "TÜRKÇESİ.", "DERSİ, EVİ!", "İSTANBUL", "ANKARA'DAKİ.", "Kelvin Å ẞ.",
     ]
-    code = Encoder(WORD_BPE, pieces)
+    code = Encoder(WORD_BPE, size)
     for _ in range(2):
         for t, raw in zip(texts, code.encode_all(texts), strict=True):
             ids = library.encode(t, add_special_tokens=False).ids
@@ -46,6 +49,28 @@ def test_encoder_equals_library(library, pieces):
             assert code.decode(np.frombuffer(raw, "<u4")) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_encoder_on_mixed_texts(library):
+    """Capitals whose lower case is longer, combining marks, letters of many scripts, punctuation."""
+    rng = random.Random(3)
+    alphabet = "aBéİıŞÇ ̇́K Åßẞ'.,!?\n <|>sS1tŉǰΣς\t-_ªºÀ　·fiﬁ"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25))) for _ in range(10_000)]
+    code = Encoder(WORD_BPE, 20_000)
+    for at in range(0, len(texts), 500):
+        part = texts[at : at + 500]
+        ids, offsets = code.encode(pa.array(part))
+        for k, t in enumerate(part):
+            assert ids[offsets[k] : offsets[k + 1]].tolist() == library.encode(t, add_special_tokens=False).ids, t
+
+
+def test_encoder_on_columns(library):
+    code = Encoder(WORD_BPE)
+    column = pa.array(["x", None, "", "a b.\nc", None]).slice(1)
+    ids, offsets = code.encode(column)
+    assert offsets.tolist() == [0, 0, 0, 4, 4]
+    assert ids.tolist() == library.encode("a b.\nc", add_special_tokens=False).ids
+    assert [len(x) for x in code.encode(pa.array([], pa.string()))] == [0, 1]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from("aBé '.,\n\t<|>sS1")), max_size=60))
 def test_encoder_on_any_text(text):
