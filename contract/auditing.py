@@ -6,8 +6,34 @@ from pyspark.sql import functions as F
 
 from contract.registry import query
 from gleanstar.operators import audit as a
+from gleanstar.operators import register as g
 from gleanstar.operators.joins import full_outer, lookup_join
-from gleanstar.operators.profile import rule_counts, temporal_order_violations
+
+
+def issues():
+    return {
+        "orphan_items_no_order": g.Relation("order_items", "orders", "order_id"),
+        "orphan_payments_no_order": g.Relation("order_payments", "orders", "order_id"),
+        "orphan_reviews_no_order": g.Relation("order_reviews", "orders", "order_id"),
+        "delivered_before_purchase": g.Rule("orders", F.col("order_delivered_customer_date") < F.col("order_purchase_timestamp")),
+        "non_positive_price": g.Rule("order_items", F.col("price") <= 0),
+        "invalid_review_score": g.Rule("order_reviews", ~F.col("review_score").between(1, 5)),
+        "duplicate_order_ids": g.Duplicates("orders", "order_id"),
+        "categories_missing_translation": g.Relation("products", "category_translation", "product_category_name", "string_field_0"),
+    }
+
+
+REGISTERED = ("orders", "order_items", "order_payments", "order_reviews", "products", "category_translation")
+# child, parent, key, parent's key
+RELATIONS = {
+    "items_orders": ("order_items", "orders", "order_id", "order_id"),
+    "payments_orders": ("order_payments", "orders", "order_id", "order_id"),
+    "reviews_orders": ("order_reviews", "orders", "order_id", "order_id"),
+    "orders_customers": ("orders", "customers", "customer_id", "customer_id"),
+    "items_products": ("order_items", "products", "product_id", "product_id"),
+    "items_sellers": ("order_items", "sellers", "seller_id", "seller_id"),
+    "products_categories": ("products", "category_translation", "product_category_name", "string_field_0"),
+}
 
 
 @query(
@@ -30,15 +56,14 @@ def _(t):
 )
 def _(t):
     relations = {
-        "payments_without_order": ("order_payments", "orders", "order_id"),
-        "reviews_without_order": ("order_reviews", "orders", "order_id"),
-        "orders_without_customer": ("orders", "customers", "customer_id"),
-        "items_without_product": ("order_items", "products", "product_id"),
-        "items_without_seller": ("order_items", "sellers", "seller_id"),
+        "payments_without_order": g.Relation("order_payments", "orders", "order_id"),
+        "reviews_without_order": g.Relation("order_reviews", "orders", "order_id"),
+        "orders_without_customer": g.Relation("orders", "customers", "customer_id"),
+        "items_without_product": g.Relation("order_items", "products", "product_id"),
+        "items_without_seller": g.Relation("order_items", "sellers", "seller_id"),
     }
-    counts = {n: a.orphan_count(t.raw(c), t.raw(p), k, name=n) for n, (c, p, k) in relations.items()}
-    first, *rest = relations
-    return counts[first].select("*", *[counts[n].scalar().alias(n) for n in rest])
+    names = ("order_payments", "order_reviews", "orders", "customers", "order_items", "products", "sellers")
+    return g.evidence_columns(g.integrity_register({n: t.raw(n) for n in names}, relations), list(relations))
 
 
 @query(
@@ -242,28 +267,32 @@ def _(t):
       where product_category_name not in (select string_field_0 from x_category_translation)""",
 )
 def _(t):
-    items, orders = t.raw("order_items"), t.raw("orders")
-    payments, reviews = t.raw("order_payments"), t.raw("order_reviews")
-    gap = a.coverage_gap(
-        t.raw("products"),
-        t.raw("category_translation"),
-        "product_category_name",
-        "string_field_0",
-        predicate=F.col("product_category_name").isNotNull(),
+    return g.evidence_lines(
+        g.integrity_register({n: t.raw(n) for n in REGISTERED}, issues()),
+        {"categories_missing_translation": F.col("orphan_keys")},
     )
-    return a.issue_register(
-        [
-            a.orphan_count(items, orders, "order_id", name="orphan_items_no_order"),
-            a.orphan_count(payments, orders, "order_id", name="orphan_payments_no_order"),
-            a.orphan_count(reviews, orders, "order_id", name="orphan_reviews_no_order"),
-            temporal_order_violations(
-                orders, {"delivered_before_purchase": ("order_purchase_timestamp", "order_delivered_customer_date")}
-            ),
-            rule_counts(items, {"non_positive_price": F.col("price") <= 0}),
-            a.range_rule(reviews, "review_score", 1, 5, "invalid_review_score"),
-            a.duplicate_keys(orders, "order_id", "duplicate_order_ids").select("duplicate_order_ids"),
-            gap.select(F.col("missing_keys").alias("categories_missing_translation")),
-        ]
+
+
+_SIDES = [(n, c, p, k, q) for n, (c, p, k, q) in RELATIONS.items()]
+
+
+@query(
+    "integrity_register",
+    " union all ".join(
+        f"""select '{name}' as issue, (select count({key}) from x_{child}) as child_rows, (select count(*) from x_{child} where {key} is null) as null_keys,
+        (select count(distinct {key}) from x_{child}) as keys,
+        (select count(*) from x_{child} where {key} is not null and {key} not in (select {parent_key} from x_{parent} where {parent_key} is not null)) as orphan_rows,
+        (select count(distinct {key}) from x_{child} where {key} not in (select {parent_key} from x_{parent} where {parent_key} is not null)) as orphan_keys,
+        (select count({parent_key}) from x_{parent}) as parents,
+        (select count(*) from x_{parent} where {parent_key} is not null and {parent_key} not in (select {key} from x_{child} where {key} is not null)) as childless_parents"""
+        for name, child, parent, key, parent_key in _SIDES
+    ),
+)
+def _(t):
+    names = dict.fromkeys(x for _, c, p, _, _ in _SIDES for x in (c, p))
+    out = g.integrity_register({n: t.raw(n) for n in names}, {n: g.Relation(c, p, k, q) for n, c, p, k, q in _SIDES})
+    return out.select(
+        "issue", (F.col("checked_rows") - F.col("null_keys")).alias("child_rows"), "null_keys", "keys", "orphan_rows", "orphan_keys", "parents", "childless_parents"
     )
 
 

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from gleanstar.functions import measures as m
 from gleanstar.functions.text import col
+from gleanstar.operators.distincts import distinct_counts
 from gleanstar.operators.joins import as_list, full_outer, lookup_join, unmatched_counts
 from gleanstar.operators.listing import PAGE_SIZE, paged_values
-from gleanstar.operators.profile import distinct_count
 
 
 def orphan_count(
@@ -110,10 +110,8 @@ def not_in_null_aware(df: DataFrame, sub: DataFrame, key: str, sub_key: str | No
 
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str], name: str = "duplicates") -> DataFrame:
     """Rows minus distinct key tuples (tuples with a NULL part are not counted)."""
-    distinct = distinct_count(df, *as_list(keys))
-    return df.agg(m.rows().alias("total_rows")).select(
-        "total_rows", distinct.alias("distinct_keys")
-    ).withColumn(name, F.col("total_rows") - F.col("distinct_keys"))
+    counts = distinct_counts(df, {"distinct_keys": as_list(keys)}, total="total_rows")
+    return counts.withColumn(name, F.col("total_rows") - F.col("distinct_keys"))
 
 
 def duplicate_combinations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from gleanstar.functions import measures as m
 from gleanstar.functions.text import col
 from gleanstar.functions.timeparts import elapsed, year_month
+from gleanstar.operators.distincts import distinct_counts
 from gleanstar.operators.joins import as_list, lookup_join
 from gleanstar.operators.listing import PAGE_SIZE, paged_values
-from gleanstar.operators.ranking import exact_quantiles
+from gleanstar.operators.selection import measured_quantiles, selected_quantiles
 
 Normaliser = Callable[[str], Column]
 
@@ -36,17 +37,22 @@ def table_profile(
     approx: bool = False,
 ) -> DataFrame:
     """One row: row_count, distinct_<key> per key (estimated with `approx`), null_<column> per column."""
-    base = df.agg(m.rows().alias("row_count"), *[m.null_count(c).alias(f"null_{c}") for c in nulls])
-    distinct = {}
-    for key in keys:
-        cols = as_list(key)
-        name = "distinct_" + "_".join(cols)
-        if approx:
-            one = F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
-            distinct[name] = df.select(F.approx_count_distinct(one)).scalar()
-        else:
-            distinct[name] = distinct_count(df, *cols)
-    return base.select("row_count", *[c.alias(n) for n, c in distinct.items()], *[f"null_{c}" for c in nulls])
+    named = {"distinct_" + "_".join(as_list(key)): as_list(key) for key in keys}
+    conditions = {f"null_{c}": F.col(c).isNull() for c in nulls}
+    if named and not approx:
+        return distinct_counts(df, named, conditions, total="row_count")
+    estimates = []
+    for name, cols in named.items():
+        one = F.col(cols[0]) if len(cols) == 1 else F.when(_all_present(cols), F.struct(*cols))
+        estimates.append(F.approx_count_distinct(one).alias(name))
+    return df.agg(m.rows().alias("row_count"), *estimates, *[F.count_if(c).alias(n) for n, c in conditions.items()])
+
+
+def _all_present(columns: Sequence[str]) -> Column:
+    present = F.col(columns[0]).isNotNull()
+    for c in columns[1:]:
+        present = present & F.col(c).isNotNull()
+    return present
 
 
 def null_rates(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
@@ -93,12 +99,12 @@ def cardinality_ratio(
     df: DataFrame, per: str, of: str | None = None, digits: int = 2, extra: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """Rows (or distinct `of`) per distinct `per`, plus any extra aggregates."""
-    base = df.agg(m.rows().alias("row_count"), *[c.alias(n) for n, c in (extra or {}).items()])
-    counts = base.withColumn(f"distinct_{per}", distinct_count(df, per))
-    part = "row_count"
-    if of is not None:
-        part = f"distinct_{of}"
-        counts = counts.withColumn(part, distinct_count(df, of))
+    distinct = {f"distinct_{c}": c for c in (per, of) if c is not None}
+    counts = distinct_counts(df, distinct, total="row_count")
+    if extra:
+        one = df.agg(*[c.alias(n) for n, c in extra.items()])
+        counts = counts.select("row_count", *[one.select(n).scalar().alias(n) for n in extra], *distinct)
+    part = "row_count" if of is None else f"distinct_{of}"
     return counts.withColumn("ratio", m.ratio(F.col(part), F.col(f"distinct_{per}"), digits))
 
 
@@ -123,7 +129,7 @@ def quantile_columns(
         one = values.agg(*[m.sketch(n, probs, accuracy).alias(n) for n in exprs])
         lines = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("quantiles")) for n in exprs]
         return one.select(F.inline(F.array(*lines)))
-    found = exact_quantiles(values, list(exprs), sorted(set(probs)), discrete=True)
+    found = selected_quantiles(values, list(exprs), sorted(set(probs)), discrete=True)
     # One value per wanted quantile, so the array is bounded by the argument list.
     pairs = F.array_sort(F.collect_list(F.struct("prob", "value")))
     return found.groupBy(F.col("metric").alias("column_name")).agg(
@@ -141,7 +147,7 @@ def numeric_summary(
     """column_name, min_val, max_val, avg_val, quartiles (5 values), plus rule counts.
 
     Quartiles come from a sketch (one pass, rank error of 1/accuracy), or exact with
-    accuracy=None, which stores the sorted distinct values when it is called."""
+    accuracy=None, which scans the rows a few times when it is called."""
     exprs = dict(columns) if isinstance(columns, Mapping) else {c: F.col(c) for c in columns}
     aggs = []
     for i, c in enumerate(exprs.values()):
@@ -384,39 +390,34 @@ def distribution_summary(
 ) -> DataFrame:
     """metric, n, mean, median, sd, iqr, skew, kurtosis, fences and % outside them.
 
-    Skewness and kurtosis are bias-corrected, quantiles are interpolated and exact.
+    Skewness and kurtosis are bias-corrected, quantiles are interpolated and exact. The rows
+    are scanned a few times (moments in the first scan) and not shuffled; runs when it is called.
     """
-    quartiles = (
-        exact_quantiles(df, metrics, [0.25, 0.5, 0.75])
-        .groupBy("metric")
-        .agg(
-            *[
-                F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
-                for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
-            ]
-        )
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
-        # Rounded, so that a value equal to its fence does not fall outside by float noise.
-        .withColumn("lower_fence", F.round(F.col("q1") - fence * F.col("iqr"), 9))
-        .withColumn("upper_fence", F.round(F.col("q3") + fence * F.col("iqr"), 9))
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in metrics])
+    moments = [f(c) for c in metrics for f in (F.avg, F.stddev_samp, F.skewness, F.kurtosis)]
+    found, sums = measured_quantiles(values, metrics, [0.25, 0.5, 0.75], extra=moments)
+    known = [c for c in metrics if found[c][0]]
+    lines = [
+        (c, found[c][0], *(float(found[c][1][p]) for p in (0.25, 0.5, 0.75)), *sums[4 * k : 4 * k + 4])
+        for k, c in enumerate(metrics)
+        if c in known
+    ]
+    schema = "metric string, n long, q1 double, median double, q3 double, mean double, sd double, _g1 double, _g2 double"
+    measured = df.sparkSession.createDataFrame(lines, schema).withColumn("iqr", F.col("q3") - F.col("q1"))
+    # Rounded, so that a value equal to its fence does not fall outside by float noise.
+    measured = measured.withColumn("lower_fence", F.round(F.col("q1") - fence * F.col("iqr"), 9)).withColumn(
+        "upper_fence", F.round(F.col("q3") + fence * F.col("iqr"), 9)
     )
-    long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in metrics], "metric", "value")
-    # One row of quartiles per metric: bounded by the argument list.
-    fenced = long.filter(F.col("value").isNotNull()).join(F.broadcast(quartiles), "metric")
+    fences = {r["metric"]: (r["lower_fence"], r["upper_fence"]) for r in measured.collect()}
+    beyond = [F.count_if((F.col(c) < fences[c][0]) | (F.col(c) > fences[c][1])).alias(c) for c in known]
+    if beyond:
+        counts = values.agg(*beyond)
+        outside = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("_out")) for c in known])))
+    else:
+        outside = measured.select("metric", F.lit(0).cast("bigint").alias("_out"))
     n = F.col("n").cast("double")
-    out = fenced.groupBy("metric", "median", "iqr", "lower_fence", "upper_fence").agg(
-        m.rows().alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("sd"),
-        F.skewness("value").alias("_g1"),
-        F.kurtosis("value").alias("_g2"),
-        m.percent(
-            F.count_if((F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))),
-            m.rows(),
-            digits,
-        ).alias("pct_outside_fence"),
-    )
-    return out.select(
+    # Both sides have one row per metric.
+    return measured.join(F.broadcast(outside), "metric").select(
         "metric",
         "n",
         "mean",
@@ -427,7 +428,7 @@ def distribution_summary(
         F.try_divide((n - 1) * ((n + 1) * F.col("_g2") + 6), (n - 2) * (n - 3)).alias("kurtosis"),
         "lower_fence",
         "upper_fence",
-        "pct_outside_fence",
+        m.percent(F.col("_out"), F.col("n"), digits).alias("pct_outside_fence"),
     )
 
 

@@ -21,6 +21,7 @@ from gleanstar.functions import timeparts as tp
 from gleanstar.operators import audit as a
 from gleanstar.operators import clean as k
 from gleanstar.operators import profile as p
+from gleanstar.operators import register as rg
 from gleanstar.operators import serve as g
 from gleanstar.operators import validate as v
 from gleanstar.operators.joins import lookup_join
@@ -323,18 +324,17 @@ def integrity_audit(raw: Tables, focus: Focus = Focus()) -> Report:
         return a.coverage_gap(d, t, category, "string_field_0", predicate=has_category)
 
     def register() -> DataFrame:
-        return a.issue_register(
-            [
-                a.orphan_count(i, o, "order_id", name="orphan_items_no_order"),
-                a.orphan_count(y, o, "order_id", name="orphan_payments_no_order"),
-                a.orphan_count(r, o, "order_id", name="orphan_reviews_no_order"),
-                p.temporal_order_violations(o, {"delivered_before_purchase": (PURCHASE, DELIVERED)}),
-                p.rule_counts(i, {"non_positive_price": F.col("price") <= 0}),
-                a.range_rule(r, "review_score", 1, 5, "invalid_review_score"),
-                a.duplicate_keys(o, "order_id", "duplicate_order_ids").select("duplicate_order_ids"),
-                no_translation().select(F.col("missing_keys").alias("categories_missing_translation")),
-            ]
-        )
+        issues = {
+            "orphan_items_no_order": rg.Relation("order_items", "orders", "order_id"),
+            "orphan_payments_no_order": rg.Relation("order_payments", "orders", "order_id"),
+            "orphan_reviews_no_order": rg.Relation("order_reviews", "orders", "order_id"),
+            "delivered_before_purchase": rg.Rule("orders", F.col(DELIVERED) < F.col(PURCHASE)),
+            "non_positive_price": rg.Rule("order_items", F.col("price") <= 0),
+            "invalid_review_score": rg.Rule("order_reviews", ~F.col("review_score").between(1, 5)),
+            "duplicate_order_ids": rg.Duplicates("orders", "order_id"),
+            "categories_missing_translation": rg.Relation("products", "category_translation", category, "string_field_0"),
+        }
+        return rg.evidence_lines(rg.integrity_register(raw, issues), {"categories_missing_translation": F.col("orphan_keys")})
 
     return {
         "RI.1": lambda: a.parents_without_children(o, i, "order_id"),
