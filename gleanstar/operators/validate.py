@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from gleanstar.functions import measures as m
-from gleanstar.functions.text import malformed_code
+from gleanstar.operators import checks
 from gleanstar.operators.audit import (
     duplicate_combinations,
     orphan_count,
@@ -19,6 +19,11 @@ from gleanstar.operators.joins import as_list
 from gleanstar.operators.profile import distinct_count, quantile_columns, table_profile
 
 
+def scanned(df: DataFrame, wanted: checks.Checks) -> DataFrame:
+    """Checks of a table that was stored without them, in one scan."""
+    return df.agg(*[c.alias(name) for name, c in wanted.items()])
+
+
 def row_parity(source: DataFrame, target: DataFrame, source_key: str | None = None) -> DataFrame:
     """Rows (or distinct keys) of the source, rows of the target and the difference."""
     count = distinct_count(source, source_key) if source_key else source.select(m.rows()).scalar()
@@ -37,16 +42,16 @@ def null_or_duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.agg(*[m.null_count(c).alias(f"null_{c}") for c in columns])
+    return scanned(df, checks.nulls(columns))
 
 
 def standardized(df: DataFrame, normalisers: Mapping[str, Column], name: str = "unstandardized_rows") -> DataFrame:
     """Rows where any column differs from its own normal form."""
-    return df.agg(F.count_if(m.any_true(F.col(c) != n for c, n in normalisers.items())).alias(name))
+    return scanned(df, checks.standardized(normalisers, name))
 
 
 def pattern_rows(df: DataFrame, column: str, pattern: str, name: str = "matching_rows") -> DataFrame:
-    return df.agg(F.count_if(F.col(column).rlike(pattern)).alias(name))
+    return scanned(df, checks.pattern_rows(column, pattern, name))
 
 
 def domain(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
@@ -55,11 +60,11 @@ def domain(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
 
 
 def code_format(df: DataFrame, column: str, width: int = 5, name: str = "malformed") -> DataFrame:
-    return df.agg(F.count_if(malformed_code(column, width)).alias(name))
+    return scanned(df, checks.code_format(column, width, name))
 
 
 def flag_counts(df: DataFrame, flags: Sequence[str]) -> DataFrame:
-    return df.agg(*[F.count_if(F.col(f)).alias(f"n_{f}") for f in flags])
+    return scanned(df, checks.flags(flags))
 
 
 def flagged_keys(df: DataFrame, flag: str, key: str) -> DataFrame:
@@ -71,12 +76,12 @@ def flagged_by_group(df: DataFrame, flag: str, group: str) -> DataFrame:
 
 
 def mutually_exclusive(df: DataFrame, first: str, second: str) -> DataFrame:
-    return df.agg(F.count_if(F.col(first) & F.col(second)).alias("overlap_rows"))
+    return scanned(df, checks.mutually_exclusive(first, second))
 
 
 def reconcile(df: DataFrame, parts: Sequence[str], whole: Column) -> DataFrame:
     """Rows in any part against the base population they should add up to."""
-    return df.agg(F.count_if(m.any_true(parts)).alias("combined"), F.count_if(whole).alias("baseline"))
+    return scanned(df, checks.reconcile(parts, whole))
 
 
 def flagged_groups_with_variety(df: DataFrame, flag: str, key: str, column: str) -> DataFrame:
@@ -86,17 +91,16 @@ def flagged_groups_with_variety(df: DataFrame, flag: str, key: str, column: str)
 
 
 def non_negative(df: DataFrame, columns: Sequence[str], zero: Sequence[str] = ()) -> DataFrame:
-    rules = {f"negative_{c}": F.col(c) < 0 for c in columns} | {f"zero_{c}": F.col(c) == 0 for c in zero}
-    return df.agg(*[F.count_if(p).alias(n) for n, p in rules.items()])
+    return scanned(df, checks.non_negative(columns, zero))
 
 
 def implication(df: DataFrame, impossible: Mapping[str, Column]) -> DataFrame:
     """Rows per combination of values that must not (or rarely) occur."""
-    return df.agg(*[F.count_if(p).alias(n) for n, p in impossible.items()])
+    return scanned(df, checks.counts(impossible))
 
 
 def null_equivalence(df: DataFrame, a: str, b: str, name: str = "null_mismatch") -> DataFrame:
-    return implication(df, {name: F.col(a).isNull() != F.col(b).isNull()})
+    return scanned(df, checks.null_equivalence(a, b, name))
 
 
 def forbidden_in_lookup(

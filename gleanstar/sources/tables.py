@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import time
 import uuid
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gleanstar.operators.checks import Checks, ChecksFailed, Results, observed, plain
+from gleanstar.operators.joins import as_list
 from gleanstar.sources.schemas import LAYERS, MULTILINE, RAW_SCHEMAS
 
 
@@ -43,37 +46,82 @@ def read_parquet(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.parquet(os.path.join(base, f"{table}.parquet"))
 
 
+# Properties of the view that stands for a table in a database.
+_VERSION, _CHECKS, _ORDER = "gleanstar.version", "gleanstar.checks", "gleanstar.order"
+
+
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 class Warehouse:
     """Tables in the layers raw, clean and serving: folders below `base`, or databases.
 
-    Saving replaces the whole table and returns it as read back, so whatever builds
-    on it starts from stored data.
+    Saving replaces the whole table and returns it as read back, so whatever builds on it
+    starts from stored data. A new version is written beside the old one and made current by
+    one step of the file system or catalogue, so a failed write, or one whose required checks
+    fail, leaves the old table, and a table may be built from itself; `vacuum` deletes
+    old versions. In a database a table is a view over its current version; `location` is
+    the folder of the databases, by default that of the catalogue.
     """
 
-    def __init__(self, spark: SparkSession, base: str | None = None, prefix: str = ""):
-        self.spark, self.base, self.prefix = spark, base, prefix
+    def __init__(self, spark: SparkSession, base: str | None = None, prefix: str = "", location: str | None = None):
+        self.spark, self.base, self.prefix, self.location = spark, base, prefix, location
 
     def create_namespaces(self) -> None:
         if self.base is None:
             for layer in LAYERS:
-                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
+                where = f" LOCATION '{os.path.join(self.location, layer)}'" if self.location else ""
+                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}{where}")
 
     def name(self, layer: str, table: str) -> str:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
         return os.path.join(self.base, layer, table) if self.base else f"{self.prefix}{layer}.{table}"
 
-    def save(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        """Replace the table. In folders the new version is written beside the old one and then
-        made current by one rename, so a failed write leaves the old table, and a table may be
-        built from itself; `vacuum` deletes old versions."""
+    def save(
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        checks: Checks | None = None,
+        require: Sequence[str] = (),
+        order_by: str | Sequence[str] = (),
+    ) -> DataFrame:
+        """Replace the table.
+
+        checks: named aggregates (see `operators.checks`) that the write computes as it goes;
+        `checks()` returns them for the current version. If one of those named in `require`
+        is neither 0 nor NULL, the new version is not made current and ChecksFailed is raised.
+        order_by: the files hold consecutive ranges of these columns and are sorted, so a filter
+        on the first of them skips row groups, and `read_range` whole files.
+        """
+        order = as_list(order_by)
         target = self.name(layer, table)
-        if not self.base:
-            df.write.mode("overwrite").format("parquet").saveAsTable(target)
-            return self.read(layer, table)
-        version = f"v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(os.path.join(target, version))
-        self._point(target, version)
+        missing = [c for c in require if c not in (checks or {})]
+        if missing:
+            raise ValueError(f"required but not checked: {missing}")
+        if order:
+            df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        watch = None
+        if checks:
+            df, watch = observed(df, checks)
+        version = f"v{time.time_ns()}_{uuid.uuid4().hex[:8]}"
+        if self.base:
+            df.write.parquet(os.path.join(target, version))
+        else:
+            df.write.format("parquet").saveAsTable(f"{target}__{version}")
+        results = {name: plain(v) for name, v in watch.get.items()} if watch else {}
+        failed = {c: results[c] for c in require if results[c]}
+        if failed:
+            raise ChecksFailed(target, failed, results)
+        if self.base:
+            if order:
+                self._write_ranges(os.path.join(target, version), order[0])
+            self._write_text(os.path.join(target, f"_{version}.json"), json.dumps(results))
+            self._point(target, version)
+        else:
+            self._show(target, version, results, order[0] if order else None)
         return self.read(layer, table)
 
     def read(self, layer: str, table: str) -> DataFrame:
@@ -82,14 +130,67 @@ class Warehouse:
             return self.spark.table(target)
         return self.spark.read.parquet(os.path.join(target, self._version(target)))
 
+    def read_range(self, layer: str, table: str, lo, hi) -> DataFrame:
+        """Rows of an ordered table whose first order column lies between lo and hi. In folders
+        only the files that can hold such rows are opened."""
+        target = self.name(layer, table)
+        if not self.base:
+            (column,) = (r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {target}").collect() if r["key"] == _ORDER)
+            return self.spark.table(target).filter(F.col(column).between(lo, hi))
+        path = os.path.join(target, self._version(target))
+        ranges = self.spark.read.parquet(f"{path}.ranges")
+        # a row per file of the version
+        files = [r["file"] for r in ranges.filter((F.col("hi") >= lo) & (F.col("lo") <= hi)).collect()]
+        column = ranges.schema["lo"].metadata["column"]
+        schema = self.read(layer, table).schema
+        stored = [os.path.join(path, f) for f in files]
+        found = self.spark.read.schema(schema).parquet(*stored) if stored else self.spark.createDataFrame([], schema)
+        return found.filter(F.col(column).between(lo, hi))
+
+    def checks(self, layer: str, table: str) -> Results:
+        """The results of the checks the current version was saved with."""
+        target = self.name(layer, table)
+        if self.base:
+            return json.loads(self._read_text(os.path.join(target, f"_{self._version(target)}.json")))
+        properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {target}").collect()}
+        return json.loads(properties[_CHECKS])
+
     def vacuum(self, layer: str, table: str) -> int:
         """Delete the versions of a table that are not current; returns how many."""
         target = self.name(layer, table)
+        if not self.base:
+            properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {target}").collect()}
+            database, name = target.split(".")
+            stored = self.spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__v*'").collect()
+            old = [r["tableName"] for r in stored if r["tableName"] != f"{name}__{properties[_VERSION]}"]
+            for table_name in old:
+                self.spark.sql(f"DROP TABLE {database}.{table_name} PURGE")
+            return len(old)
         current, fs = self._version(target), self._filesystem(target)
-        old = [s.getPath() for s in fs.listStatus(self._path(target)) if s.isDirectory() and s.getPath().getName() != current]
+        stored = [s.getPath() for s in fs.listStatus(self._path(target))]
+        old = [p for p in stored if not p.getName().lstrip("_").startswith(current) and p.getName() != "_CURRENT"]
         for path in old:
             fs.delete(path, True)
-        return len(old)
+        return sum(1 for p in old if "." not in p.getName())
+
+    def _show(self, target: str, version: str, results: Results, order: str | None) -> None:
+        """Make a version current: the view is replaced in one step of the catalogue."""
+        database, name = target.split(".")
+        if self.spark.catalog.tableExists(target):
+            kinds = self.spark.sql(f"DESCRIBE TABLE EXTENDED {target}").filter("col_name = 'Type'").collect()
+            if kinds and kinds[0]["data_type"] != "VIEW":
+                # a table stored before there were versions becomes one of them
+                self.spark.sql(f"ALTER TABLE {target} RENAME TO {database}.{name}__v0")
+        said = {_VERSION: version, _CHECKS: json.dumps(results)} | ({_ORDER: order} if order else {})
+        properties = ", ".join(f"'{k}' = '{_escaped(v)}'" for k, v in said.items())
+        self.spark.sql(f"CREATE OR REPLACE VIEW {target} TBLPROPERTIES ({properties}) AS SELECT * FROM {target}__{version}")
+
+    def _write_ranges(self, path: str, column: str) -> None:
+        """The smallest and largest value of each file, one row a file; NULLs are in the first file."""
+        stored = self.spark.read.parquet(path).select(F.col(column), F.col("_metadata.file_name").alias("file"))
+        ranges = stored.groupBy("file").agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+        tagged = ranges.withColumn("lo", F.col("lo").alias("lo", metadata={"column": column}))
+        tagged.coalesce(1).write.parquet(f"{path}.ranges")
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(name)
@@ -97,18 +198,25 @@ class Warehouse:
     def _filesystem(self, name: str):
         return self._path(name).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _version(self, target: str) -> str:
-        stream = self._filesystem(target).open(self._path(os.path.join(target, "_CURRENT")))
+    def _read_text(self, name: str) -> str:
+        stream = self._filesystem(name).open(self._path(name))
         try:
-            return stream.readUTF()
+            return bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
 
-    def _point(self, target: str, version: str) -> None:
-        new = self._path(os.path.join(target, f"_{version}"))
-        stream = self._filesystem(target).create(new)
-        stream.writeUTF(version)
+    def _write_text(self, name: str, text: str) -> None:
+        stream = self._filesystem(name).create(self._path(name))
+        stream.write(bytearray(text.encode()))
         stream.close()
+
+    def _version(self, target: str) -> str:
+        return self._read_text(os.path.join(target, "_CURRENT"))
+
+    def _point(self, target: str, version: str) -> None:
+        name = os.path.join(target, f"_{version}")
+        self._write_text(name, version)
+        new = self._path(name)
         jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
         rename = jvm.org.apache.hadoop.fs.Options.Rename
         options = gateway.new_array(rename, 1)
