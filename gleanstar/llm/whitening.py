@@ -10,19 +10,21 @@ the tasks, which project their vectors.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanstar.llm.rows import configure_batches, packed
+from gleanstar.llm.rows import configure_batches
 
 SCALE, SHIFT = 64, 1_000_000
 COMPONENTS = 32
 # Entries whose scaled value a double cannot hold as an integer count as not finite.
-_LARGEST = 2.0**53 / SCALE
+_LARGEST = 2.0**53
 _EPS = np.finfo(float).eps
 
 
@@ -124,15 +126,25 @@ class Whitening:
         return self.vectors / np.sqrt(self.values)
 
 
-def usable(name: str) -> Column:
-    """True for vectors without NULL and non-finite entries (NULL vectors: false)."""
-    v = F.col(f"`{name}`")
-    good = F.forall(v, lambda c: F.coalesce(F.abs(c.cast("double")) < _LARGEST, F.lit(False)))
-    return F.coalesce(good, F.lit(False))
+def usable(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, x as a matrix of longs) of the vectors of each length that hold neither NULL nor
+    entries that are not finite; NULL and empty vectors are in none."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    lengths = np.where(column.is_valid().to_numpy(zero_copy_only=False), np.diff(offsets), 0)
+    entries = column.values
+    values = pc.fill_null(entries.cast(pa.float64()), np.nan).to_numpy()
+    out = []
+    for d in np.unique(lengths[lengths > 0]).tolist():
+        rows = np.flatnonzero(lengths == d)
+        scaled = values[offsets[rows][:, None] + np.arange(d)] * SCALE
+        with np.errstate(invalid="ignore"):
+            good = (np.abs(scaled) < _LARGEST).all(axis=1)
+        out.append((rows[good], np.floor(scaled[good]).astype(np.int64) + SHIFT))
+    return [(rows, x) for rows, x in out if len(rows)]
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy().reshape(len(column), -1)
+def _of_length(column: pa.Array, d: int) -> tuple[np.ndarray, np.ndarray]:
+    return next(((rows, x) for rows, x in usable(column) if x.shape[1] == d), (np.zeros(0, np.int64), np.zeros((0, d), np.int64)))
 
 
 def _summed(partial: DataFrame) -> dict[int, np.ndarray]:
@@ -153,13 +165,13 @@ def _summed(partial: DataFrame) -> dict[int, np.ndarray]:
 
 
 def _covariance(vectors: DataFrame, centre: np.ndarray, n: int, project: np.ndarray | None = None) -> np.ndarray:
-    """The covariance (divisor n) of vectors less the centre, projected if wanted; every
-    vector is centred before it is multiplied."""
+    """The covariance (divisor n) of x less the centre, projected if wanted; every vector is
+    centred before it is multiplied."""
 
     def run(batches):
         total = None
         for batch in batches:
-            c = _matrix(batch.column(0)) - centre
+            c = _of_length(batch.column(0), len(centre))[1] - centre
             c = c if project is None else c @ project
             total = c.T @ c if total is None else total + c.T @ c
         if total is not None:
@@ -171,21 +183,23 @@ def _covariance(vectors: DataFrame, centre: np.ndarray, n: int, project: np.ndar
 
 
 def fit(vectors: DataFrame, keep: int = COMPONENTS) -> Whitening | None:
-    """Fit on the column x (arrays of longs of one length); None without rows."""
+    """Fit on the only column, of arrays of numbers; None without a usable vector."""
 
     def add(batches):
-        total, n = None, 0
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            if batch.num_rows:
-                x = _matrix(batch.column(0))
-                total, n = x.sum(axis=0) + (0 if total is None else total), n + len(x)
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([np.append(total, n)], pa.list_(pa.int64()))], ["k", "v"])
-
-    sums = _summed(vectors.mapInArrow(add, "k long, v array<long>"))
-    if not sums:
+            for rows, x in usable(batch.column(0)):
+                d = x.shape[1]
+                totals[d] = np.append(x.sum(axis=0), len(rows)) + totals.get(d, 0)
+        if totals:
+            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.list_(pa.int64()))], ["k", "v"])
+
+    # a row a length
+    by_length = _summed(vectors.mapInArrow(add, "k long, v array<long>"))
+    if not by_length:
         return None
-    *sums, n = (int(s) for s in sums[0])
+    length = max(by_length, key=lambda d: (int(by_length[d][-1]), d))
+    *sums, n = (int(s) for s in by_length[length])
     centre = np.array([s / n for s in sums])
     covariance = _covariance(vectors, centre, n)
     values, v = components(covariance)
@@ -194,73 +208,63 @@ def fit(vectors: DataFrame, keep: int = COMPONENTS) -> Whitening | None:
     return Whitening(n, sums, values[:kept], v[:, :kept], values[:kept] / max(np.trace(covariance), _EPS))
 
 
-def whiten(docs: DataFrame, vector_col: str = "embedding", keep: int = COMPONENTS) -> DataFrame:
-    """The input's rows with a usable vector, as a struct `row`, beside n, deviation, whitened
-    (an array, the largest component first), explained (likewise) and identity_error.
+def _deviation(x: np.ndarray, n: int, sums: np.ndarray) -> list[int | None]:
+    """The sum over dimensions of (n * x - sum)^2 of each row, exact."""
+    if max(n * int(np.abs(x).max(initial=0)), int(np.abs(sums).max())) < 2**62:
+        exact = x * n - sums
+    else:
+        exact = x.astype(object) * n - sums.astype(object)
+    if len(sums) * int(np.abs(exact).max(initial=0)) ** 2 >= 2**63:
+        exact = exact.astype(object)
+    return [d if d < 2**63 else None for d in (exact * exact).sum(axis=1).tolist()]
+
+
+def whiten(docs: DataFrame, vector_col: str = "embedding", keep: int = COMPONENTS, columns: Sequence[str] | None = None) -> tuple[DataFrame, Whitening | None, float]:
+    """The input's rows with a usable vector (or the given columns of them) as a struct `row`,
+    beside deviation and whitened (an array, the largest component first); the fit, NULL
+    without rows; and identity_error, the largest absolute entry of the covariance of all
+    rows' whitened less the identity.
 
     A vector's entry c counts as x = floor(64 * c) + 1000000. Rows whose vector is NULL, empty,
     or holds NULL or non-finite entries (or such that a double does not hold 64 * c as an
     integer) are dropped; so are vectors of another length than most have (of equally
     frequent lengths the largest counts). deviation is the sum over dimensions of
     (n * x - sum)^2, exact, NULL where a long cannot hold it. Directions without variance are
-    no components: equal vectors throughout, or a single one, have whitened and explained
-    empty and identity_error 0. An empty table gives no rows. Repeated rows count as often
-    as they stand. The fit runs when this is called.
+    no components: equal vectors throughout, or a single one, have an empty whitened and
+    identity_error 0. An empty table gives no rows. Repeated rows count as often as they
+    stand. The fit runs when this is called.
     """
     configure_batches(docs)
-    x = F.transform(F.col(f"`{vector_col}`"), lambda c: F.floor(c.cast("double") * SCALE) + F.lit(SHIFT).cast("long"))
-    # Spark may test the length before it has dropped the others
-    rows = packed(docs, x=F.when(usable(vector_col), x)).filter(F.coalesce(F.size("x"), F.lit(0)) > 0)
-    # one row a length, and lengths are few
-    lengths = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
+    vectors = docs.select(F.col(f"`{vector_col}`"))
+    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)])
+    rows = docs.select(row.alias("row"), F.col(f"`{vector_col}`").alias("vector"))
     kinds = f"row {rows.schema['row'].dataType.simpleString()}, deviation long, whitened array<double>"
-    if not lengths:
-        return rows.select("row", F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("deviation"), *_no_components())
-    rows = rows.filter(F.size("x") == lengths[0].d)
-    model = fit(rows.select("x"), keep)
-    centre, scaled = model.mean, model.scaled
-    error = 0.0
-    if scaled.shape[1]:
-        error = float(np.abs(_covariance(rows.select("x"), centre, model.n, scaled) - np.eye(scaled.shape[1])).max())
-    n, sums = model.n, np.array(model.sums, np.int64)
+    model = fit(vectors, keep)
+    if model is None:
+        return rows.limit(0).select("row", F.lit(None).cast("long").alias("deviation"), F.array().cast("array<double>").alias("whitened")), None, 0.0
+    n, sums, centre, scaled = model.n, np.array(model.sums, np.int64), model.mean, model.scaled
+    error, width = 0.0, scaled.shape[1]
+    if width:
+        error = float(np.abs(_covariance(vectors, centre, n, scaled) - np.eye(width)).max())
 
     def project(batches):
         for batch in batches:
-            x = _matrix(batch.column(1))
-            if max(n * int(np.abs(x).max(initial=0)), int(np.abs(sums).max())) < 2**62:
-                exact = x * n - sums
-            else:
-                exact = x.astype(object) * n - sums.astype(object)
-            if len(sums) * int(np.abs(exact).max(initial=0)) ** 2 >= 2**63:
-                exact = exact.astype(object)
-            deviation = (exact * exact).sum(axis=1).tolist()
+            kept, x = _of_length(batch.column(1), len(centre))
             whitened = (x - centre) @ scaled
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([d if d < 2**63 else None for d in deviation], pa.int64()),
-                    pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * whitened.shape[1], whitened.ravel()),
-                ],
-                ["row", "deviation", "whitened"],
-            )
+            lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * width, whitened.ravel())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept)), pa.array(_deviation(x, n, sums), pa.int64()), lists], ["row", "deviation", "whitened"])
 
-    out = rows.mapInArrow(project, kinds)
-    explained = F.array(*[F.lit(float(e)) for e in model.explained]).cast("array<double>")
-    return out.select("row", F.lit(n).cast("long").alias("n"), "deviation", "whitened", explained.alias("explained"), F.lit(error).alias("identity_error"))
-
-
-def _no_components() -> list[Column]:
-    none = F.array().cast("array<double>")
-    return [none.alias("whitened"), none.alias("explained"), F.lit(0.0).alias("identity_error")]
+    return rows.mapInArrow(project, kinds), model, error
 
 
 def whitened_components(docs: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", keep: int = COMPONENTS) -> DataFrame:
     """A row per usable row and component: id, component (from 1), n, deviation, whitened,
     explained, identity_error; rows and cases as in `whiten`."""
-    out = whiten(docs, vector_col, keep)
-    parts = out.select(F.col(f"row.`{id_col}`").alias("id"), "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("at", "whitened"))
+    out, model, error = whiten(docs, vector_col, keep, [id_col])
+    parts = out.select(F.col(f"row.`{id_col}`").alias("id"), "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    explained = [] if model is None else model.explained.tolist()
+    share = F.element_at(F.array(*[F.lit(e) for e in explained]), F.col("at") + 1) if explained else F.lit(None).cast("double")
     return parts.select(
-        F.col("id").alias(id_col), (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
-        F.element_at("explained", F.col("at") + 1).alias("explained"), "identity_error",
+        F.col("id").alias(id_col), (F.col("at") + 1).alias("component"), F.lit(0 if model is None else model.n).cast("long").alias("n"), "deviation",
+        "whitened", share.alias("explained"), F.lit(error).alias("identity_error"),
     )
-

@@ -72,9 +72,24 @@ def test_odd_vectors(spark):
     assert {r.component for r in got} == {1, 2} and len(got) == 8 and {r.n for r in got} == {4}
     same = spark.createDataFrame([(1, [1.0, 2.0])] * 3, "vec_id long, embedding array<double>")
     assert wh.whitened_components(same).count() == 0
-    plain = wh.whiten(same).collect()
+    out, model, error = wh.whiten(same)
+    plain = out.collect()
+    assert model.n == 3 and error == 0
     assert [(r.row.vec_id, r.deviation, r.whitened) for r in plain] == [(1, 0, [])] * 3
     assert wh.whitened_components(df.limit(0)).count() == 0
+    whole, model, error = wh.whiten(df)
+    assert {r.row.x for r in whole.collect()} == {7, None, 1} and whole.schema["row"].dataType.names == df.columns
+    assert model.n == 4 and error < 1e-10
+
+
+def test_deviation_beyond_a_long():
+    x = np.array([[2**40, 5], [1, 1]])
+    assert wh._deviation(x, 2**20, np.array([0, 0])) == [None, 2**41]
+    assert wh._deviation(x, 2, np.array([1, 1])) == [None, 2]
+    assert wh._deviation(x // 2**20, 2, np.array([1, 1])) == [(2**21 - 1) ** 2 + 1, 2]
+
+
+def test_directions_without_variance(spark):
     # one direction without variance is no component
     flat = spark.createDataFrame([(i, [float(i % 5), 1.0, float(i % 3)]) for i in range(30)], "vec_id long, embedding array<float>")
     assert {r.component for r in wh.whitened_components(flat).collect()} == {1, 2}
