@@ -9,7 +9,9 @@ from gleanstar.functions import measures as m
 from gleanstar.functions import text as tx
 from gleanstar.functions import timeparts as tp
 from gleanstar.operators import profile as p
+from gleanstar.operators import sketches as sk
 from gleanstar.operators.ranking import exact_quantiles, global_row_number
+from gleanstar.session import stage
 
 ORDER_TS = (
     "order_purchase_timestamp order_approved_at order_delivered_carrier_date "
@@ -92,6 +94,76 @@ def _(t):
     return _ranks(items, "l_extendedprice", found.select("quartiles").scalar(), [0, 0.25, 0.5, 0.75, 1], 10_000)
 
 
+def _near(df, column, found, probs):
+    """The ranks of quantiles from a stored sketch against the exact counts; the sketch keeps
+    its rank error in 99 of 100 cases, so twice that is allowed."""
+    return _ranks(df, column, found.select("quantiles").scalar(), probs, int(1 / (2 * sk.rank_error())))
+
+
+def _kept_sketches(t, df, columns, by=()):
+    """A sketch table as the store keeps it."""
+    return stage(sk.sketch_table(df, columns, by), "sketches")
+
+
+@query(
+    "numeric_summary_stored",
+    """select count(l_extendedprice) as n, true as near_0, true as near_1, true as near_2, true as near_3, true as near_4,
+    min(l_extendedprice) as min_val, max(l_extendedprice) as max_val, round(avg(l_extendedprice), 2) as avg_val from lineitem""",
+)
+def _(t):
+    """Quartiles merged from the sketches of each return flag and status."""
+    items = t.src("lineitem")
+    kept = _kept_sketches(t, items, ["l_extendedprice", "l_quantity"], ["l_returnflag", "l_linestatus"])
+    found = sk.numeric_summary(kept).filter("column_name = 'l_extendedprice'").withColumnRenamed("quartiles", "quantiles")
+    ranks = _near(items, "l_extendedprice", found, [0, 0.25, 0.5, 0.75, 1])
+    return ranks.select("*", *[found.select(c).scalar().alias(c) for c in ("min_val", "max_val", "avg_val")])
+
+
+@query(
+    "numeric_summary_added",
+    "select count(l_quantity) as n, true as near_0, true as near_1, true as near_2 from lineitem",
+)
+def _(t):
+    """Sketches of the items of odd orders, with those of even ones added."""
+    items = t.src("lineitem")
+    halves = [_kept_sketches(t, items.filter(F.col("l_orderkey") % 2 == k), ["l_quantity"]) for k in (1, 0)]
+    found = sk.added(*halves).select(sk.quantile([0.1, 0.5, 0.9]).alias("quantiles"))
+    return _near(items, "l_quantity", found, [0.1, 0.5, 0.9])
+
+
+@query(
+    "duration_distribution_stored",
+    """select count(*) as n, true as near_0, true as near_1, min(d) as min_val, max(d) as max_val
+    from (select cast(date_sub('hour', order_approved_at, order_delivered_carrier_date) as double) as d from x_orders) where d is not null""",
+)
+def _(t):
+    """Median and 95th percentile merged from the sketches of each month."""
+    hours = tp.elapsed("order_delivered_carrier_date", "order_approved_at", "hour")
+    orders = t.raw("orders").select(hours.alias("d"), tp.year_month("order_purchase_timestamp").alias("month"))
+    found = sk.duration_distribution(_kept_sketches(t, orders, ["d"], ["month"]))
+    ranks = _near(orders, "d", found.select(F.array("p50", "p95").alias("quantiles")), [0.5, 0.95])
+    return ranks.select("*", *[found.select(c).scalar().alias(c) for c in ("min_val", "max_val")])
+
+
+@query(
+    "group_median_stored",
+    """select p_type, count(p_retailprice) as n, true as near from part where p_size > 10 group by p_type""",
+)
+def _(t):
+    """Medians from the sketches of each type and size against the exact counts."""
+    parts = t.src("part").filter(F.col("p_size") > 10)
+    kept = _kept_sketches(t, parts, ["p_retailprice"], ["p_type", "p_size"])
+    medians = sk.group_median(kept, ["p_type"]).select("p_type", "median")
+    per_type = parts.join(medians, "p_type").groupBy("p_type").agg(
+        F.count("p_retailprice").alias("n"),
+        F.count_if(F.col("p_retailprice") < F.col("median")).alias("_below"),
+        F.count_if(F.col("p_retailprice") <= F.col("median")).alias("_upto"),
+    )
+    slack = F.ceil(F.col("n") * 2 * sk.rank_error()) + 1
+    near = (F.col("_below") <= 0.5 * F.col("n") + slack) & (F.col("_upto") >= 0.5 * F.col("n") - slack)
+    return per_type.select("p_type", "n", near.alias("near"))
+
+
 @query(
     "duration_distribution_sketch",
     """select count(*) as n, count(*) > 0 as ordered from x_orders
