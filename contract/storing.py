@@ -7,9 +7,11 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contract.adapters import ITEM_KEY
 from contract.registry import query
 from gleanstar.operators import checks as c
 from gleanstar.operators.profile import freq_distribution
+from gleanstar.plans import star
 from gleanstar.plans.checks import CHECKS, FACT_KEYS, ORDER_FLAGS
 from gleanstar.plans.cleaning import CLEANERS
 from gleanstar.session import staging_folder
@@ -197,6 +199,19 @@ def _(t):
     return _saved(t, "fact_order_item_fulfillment", t.star("fact_order_item_fulfillment"))
 
 
+@query(
+    "fact_order_item_bucketed",
+    "select * replace (round(freight_to_price_ratio, 8) as freight_to_price_ratio) from fact",
+)
+def _(t):
+    """Clean tables stored in buckets of their order, then the star from them."""
+    store, buckets = _databases(t), int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    save = star.bucketed_save(store, "clean", buckets)
+    clean = {name: save(name, t.clean(name)) for name in CLEANERS}
+    fact = star.build_bucketed_star(clean, store, buckets, ITEM_KEY)["fact_order_item_fulfillment"]
+    return fact.withColumn("freight_to_price_ratio", F.round("freight_to_price_ratio", 8))
+
+
 @query(
     "saved_row_parity",
     """select (select count(*) from x_geolocation) as source_rows, (select count(*) from c_geolocation) as target_rows,

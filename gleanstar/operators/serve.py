@@ -242,6 +242,29 @@ FACT_COLUMNS = [
 ]
 
 
+def order_customers(orders: DataFrame, customers: DataFrame, customer_dim: DataFrame) -> DataFrame:
+    """order_id and customer_key, by way of the person: two columns that, stored by order, spare
+    the wide rows of orders the exchange by customer."""
+    keys = two_hop_key(customers, customer_dim)
+    return lookup_join(orders.select("order_id", "customer_id"), keys, "customer_id", "left").select("order_id", "customer_key")
+
+
+def order_grain_items(
+    items: DataFrame, orders: DataFrame, reviews: DataFrame, customer_keys: DataFrame, date_dim: DataFrame, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Items with everything of their order: measures, customer (order_id -> customer_key), latest
+    review and date. All joins are by order, so tables stored in buckets of order_id
+    meet without an exchange."""
+    by_order = order_measures(orders).drop("customer_id").join(customer_keys, "order_id", "left")
+    by_order = by_order.join(latest_reviews(reviews), "order_id", "left")
+    # The calendar holds one row per day of the order span.
+    days = date_dim.select("full_date", F.col("date_key").alias("order_date_key"))
+    by_order = by_order.join(F.broadcast(days), "full_date", "left").drop("full_date")
+    columns = dict.fromkeys(["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value", *carried])
+    lines = items.select(*columns, F.col("is_shipping_date_anomaly").alias("is_shipping_anomaly"))
+    return lookup_join(lines, by_order, "order_id", "inner")
+
+
 def fact_order_item(
     items: DataFrame,
     orders: DataFrame,
@@ -254,24 +277,18 @@ def fact_order_item(
     flag_dim: DataFrame,
     order_by: Sequence[str] = ("order_id", "order_item_id"),
     null_safe_flags: bool = False,
+    customer_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Item-grain fact. `order_by` must identify an item; it fixes the surrogate key.
 
     Everything of order grain (measures, customer, review, date) meets before the
-    items do, so the items shuffle once for the order, once per large dimension and
-    once for the key.
+    items do, so the items shuffle once for the order (not at all if the tables are stored in
+    buckets of it, with `customer_keys` as `order_customers` gives them), once per large
+    dimension and once for the key.
     """
-    keys = two_hop_key(customers, customer_dim)
-    measured = order_measures(orders)
-    by_order = lookup_join(measured, keys, "customer_id", "left")
-    by_order = by_order.join(latest_reviews(reviews), "order_id", "left")
-    # The calendar holds one row per day of the order span.
-    days = date_dim.select("full_date", F.col("date_key").alias("order_date_key"))
-    by_order = by_order.join(F.broadcast(days), "full_date", "left").drop("customer_id", "full_date")
-
-    carried = list(dict.fromkeys(["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value", *order_by]))
-    lines = items.select(*carried, F.col("is_shipping_date_anomaly").alias("is_shipping_anomaly"))
-    fact = lookup_join(lines, by_order, "order_id", "inner")
+    if customer_keys is None:
+        customer_keys = order_customers(orders, customers, customer_dim)
+    fact = order_grain_items(items, orders, reviews, customer_keys, date_dim, order_by)
     for dim, natural, key in (
         (seller_dim, "seller_id", "seller_key"),
         (product_dim, "product_id", "product_key"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanstar.functions import measures as m
 from gleanstar.operators import serve as g
+from gleanstar.sources.tables import Warehouse
 
 Save = Callable[[str, DataFrame], DataFrame]
 
@@ -32,6 +33,7 @@ def build_fact(
     clean: Mapping[str, DataFrame],
     dims: Mapping[str, DataFrame],
     order_by: Sequence[str] = ("order_id", "order_item_id"),
+    customer_keys: DataFrame | None = None,
 ) -> DataFrame:
     return g.fact_order_item(
         clean["order_items"],
@@ -44,9 +46,32 @@ def build_fact(
         dims["dim_date"],
         dims["data_quality_flags"],
         order_by=order_by,
+        customer_keys=customer_keys,
     )
 
 
+# Clean tables that meet by order.
+BY_ORDER = ("orders", "order_items", "order_reviews", "order_payments")
+
+
+def bucketed_save(store: Warehouse, layer: str, buckets: int) -> Save:
+    """`save` for `clean_all` that stores the tables which meet by order in the same number of
+    buckets of it. The store must be one of databases."""
+    return lambda name, df: store.save(layer, name, df, bucket_by="order_id" if name in BY_ORDER else None, buckets=buckets)
+
+
+def build_bucketed_star(
+    clean: Mapping[str, DataFrame], store: Warehouse, buckets: int, order_by: Sequence[str] = ("order_id", "order_item_id")
+) -> dict[str, DataFrame]:
+    """As `build_star`, over clean tables that `bucketed_save` has stored: the customer of each
+    order is stored by order as well, and the fact's order-grain joins need no exchange."""
+    dims = build_dimensions(clean, lambda name, df: store.save("serving", name, df))
+    keys = g.order_customers(clean["orders"], clean["customers"], dims["dim_customer"])
+    keys = store.save("serving", "order_customers", keys, bucket_by="order_id", buckets=buckets)
+    fact = store.save("serving", "fact_order_item_fulfillment", build_fact(clean, dims, order_by, keys))
+    return {**dims, "fact_order_item_fulfillment": fact}
+
+
 def build_star(
     clean: Mapping[str, DataFrame], save: Save, order_by: Sequence[str] = ("order_id", "order_item_id")
 ) -> dict[str, DataFrame]:

@@ -87,6 +87,8 @@ class Warehouse:
         checks: Checks | None = None,
         require: Sequence[str] = (),
         order_by: str | Sequence[str] = (),
+        bucket_by: str | None = None,
+        buckets: int | None = None,
     ) -> DataFrame:
         """Replace the table.
 
@@ -95,6 +97,9 @@ class Warehouse:
         is neither 0 nor NULL, the new version is not made current and ChecksFailed is raised.
         order_by: the files hold consecutive ranges of these columns and are sorted, so a filter
         on the first of them skips row groups, and `read_range` whole files.
+        bucket_by: (databases only) the rows are stored in `buckets` files by the hash of this
+        column, by default as many as the session has shuffle partitions, so tables with the
+        same buckets join on it, and group by it, without an exchange.
         """
         order = as_list(order_by)
         target = self.name(layer, table)
@@ -103,6 +108,12 @@ class Warehouse:
             raise ValueError(f"required but not checked: {missing}")
         if order:
             df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        if bucket_by and (self.base or order):
+            raise ValueError("buckets need a table of a database without another order")
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if bucket_by:
+            # a task a bucket, so a file a bucket
+            df = df.repartition(buckets, bucket_by)
         watch = None
         if checks:
             df, watch = observed(df, checks)
@@ -110,7 +121,10 @@ class Warehouse:
         if self.base:
             df.write.parquet(os.path.join(target, version))
         else:
-            df.write.format("parquet").saveAsTable(f"{target}__{version}")
+            writer = df.write.format("parquet")
+            if bucket_by:
+                writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+            writer.saveAsTable(f"{target}__{version}")
         results = {name: plain(v) for name, v in watch.get.items()} if watch else {}
         failed = {c: results[c] for c in require if results[c]}
         if failed:
