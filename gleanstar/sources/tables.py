@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from gleanstar.operators.checks import Checks, ChecksFailed, Results, observed, plain
 from gleanstar.operators.joins import as_list
+from gleanstar.sources.csv_split import read_multiline_csv
 from gleanstar.sources.schemas import LAYERS, MULTILINE, RAW_SCHEMAS
 
 
@@ -26,9 +27,11 @@ def read_csv(
 ) -> DataFrame:
     """CSV with one header row. A given schema saves the extra pass that inference costs.
 
-    Quoted line breaks need `multiline`, which makes a file one task; land such files
-    as several parts, or convert them to Parquet once.
+    Quoted line breaks need `multiline`: with a schema, files are then split among tasks all
+    the same (`csv_split`); inferring one reads a file in one task.
     """
+    if multiline and schema is not None:
+        return read_multiline_csv(spark, path, schema)
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
     if schema is not None:
         return reader.schema(schema).csv(path)
