@@ -7,14 +7,16 @@ whole units whose distinct word bigrams A and the template's B reach
 
 * a run can only match if t / (2 - t) * |B| <= |A| <= (2 - t) / t * |B|, and must share at least
   t / (2 - t) * |B| bigrams; so a text that has fewer of a template's bigrams in all drops it;
-* a run begins and ends with a unit that has one of the template's bigrams, and is not extended beyond the
-  upper bound.
+* a run begins and ends with a unit that has one of the template's bigrams, is not extended beyond the
+  upper bound, and ends where the text has no bigram of the template that it lacks, or where
+  all those of its first unit have come again.
 
 Documents are read once, without a shuffle; templates are a fixed parameter.
 """
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -66,29 +68,44 @@ class Templates:
         """(Dice, shared, size, first unit, last unit) of the best run of a text's units, or None.
 
         known: index of each bigram among the known, or -1; starts: first word of each unit,
-        and the number of words at the end. Of equal runs the first and shortest is taken."""
+        and the number of words at the end. Each unit is visited once at most for every bigram
+        of the template, however often a text repeats a statement."""
         ours = np.zeros(len(grams), bool)
         found = known >= 0
         ours[found] = self.member[j, known[found]]
         places = np.flatnonzero(ours)
-        units = np.unique(np.searchsorted(starts, places, "right") - 1)
+        # the template's bigrams by the unit of their first word, once each; a run holds a bigram
+        # once it has the unit of its second word
+        at_unit, with_unit = (np.searchsorted(starts, places + k, "right") - 1 for k in (0, 1))
+        pairs, index = np.unique(np.stack([known[places], at_unit]), axis=1, return_index=True)
+        same = np.append(pairs[0, 1:] == pairs[0, :-1], False)
+        following = np.where(same, np.append(with_unit[index][1:], 0), len(starts))
+        units, place = np.unique(pairs[1], return_inverse=True)
+        # from this unit on all bigrams of a unit come again: a run that goes as far is no
+        # better than the same run without its first unit
+        useless = np.zeros(len(units), np.int64)
+        np.maximum.at(useless, place, following)
+        # different bigrams of the template from a unit on: once a run has them all, it only falls
+        last = np.bincount(place[~same], minlength=len(units))
+        ahead = np.cumsum(last[::-1])[::-1]
         best = None
         b, most, t = int(self.sizes[j]), int(self.most[j]), self.threshold
-        for u in units.tolist():
+        for u, end, kinds in zip(units.tolist(), useless.tolist(), ahead.tolist(), strict=True):
             seen, shared, at = set(), set(), int(starts[u])
-            for v in range(u, len(starts) - 1):
+            for v in range(u, min(end, len(starts) - 1)):
                 # bigrams of the run's words only
-                for k in range(at, int(starts[v + 1]) - 1):
-                    g = int(grams[k])
-                    seen.add(g)
-                    if ours[k]:
-                        shared.add(g)
-                at = max(at, int(starts[v + 1]) - 1)
+                to = max(at, int(starts[v + 1]) - 1)
+                seen.update(grams[at:to].tolist())
+                if ours[at:to].any():
+                    shared.update(grams[at:to][ours[at:to]].tolist())
+                at = to
                 if len(seen) > most:
                     break
                 dice = 2 * len(shared) / (len(seen) + b)
                 if dice >= t and (best is None or dice > best[0]):
                     best = (dice, len(shared), len(seen), u, v)
+                if len(shared) == kinds:
+                    break
         return best
 
 
@@ -98,6 +115,12 @@ def _templates(items: tuple, threshold: float) -> Templates:
 
 
 _OUT = [("license", pa.string()), ("dice", pa.float64()), ("n_licenses", pa.int64()), ("licenses", pa.list_(pa.string())), ("n_words", pa.int64())]
+_OUT += [("family", pa.string()), ("families", pa.list_(pa.string()))]
+
+
+def family(template: str) -> str:
+    """The licence a template stands for: its name without the wording."""
+    return re.sub(r"-(statement(-\d+)?|notice)$", "", template)
 
 
 def scan(items: tuple, threshold: float):
@@ -136,7 +159,9 @@ def scan(items: tuple, threshold: float):
                                 rows.append((-best[0], t.names[j]))
                     rows.sort()
                     names = [n for _, n in rows]
-                    out.append((names[0] if names else None, -rows[0][0] if rows else 0.0, len(names), sorted(names), b - a))
+                    first_name = names[0] if names else None
+                    row = (first_name, -rows[0][0] if rows else 0.0, len(names), sorted(names), b - a)
+                    out.append((*row, family(first_name) if names else None, sorted({family(n) for n in names})))
             if out:
                 yield as_batch(schema, batch.column(0), *zip(*out, strict=True))
 
@@ -152,12 +177,13 @@ def license_scan(
 ) -> DataFrame:
     """One row per input row: id, license (the template of highest Dice, of equal ones the first by
     name; NULL if none), dice (0 if none), n_licenses, licenses (all that reach the threshold,
-    sorted), n_words.
+    sorted), n_words, family (the licence of the nearest template, whatever its wording) and
+    families (the licences of all).
 
     NULL and empty texts, and texts of one word, have no licence. Ids may be NULL or repeat. An
     empty table gives no rows. Other columns are not read.
     """
     configure_batches(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    kinds = "id long, license string, dice double, n_licenses long, licenses array<string>, n_words long"
+    kinds = "id long, license string, dice double, n_licenses long, licenses array<string>, n_words long, family string, families array<string>"
     return rows.mapInArrow(scan(tuple(sorted(templates.items())), threshold), kinds).withColumnRenamed("id", id_col)

@@ -115,6 +115,9 @@ _WORDINGS = (
     "This project is licensed under the {}.",
     "This work is licensed under the {}.",
     "This software is released under the {}.",
+    "Licensed under the terms of the {}.",
+    "Available under the {}.",
+    "The code is available under the {}.",
 )
 _TITLES = {
     "0BSD": ["Zero-Clause BSD License"],
@@ -148,6 +151,10 @@ for _short, _long in (
             f"This work is licensed under a {_title} {_port} License.",
             f"This work is licensed under a {_title} License.",
         ]
+for _name in _TITLES:
+    # tags in source files; licences of the GNU family name how later versions count
+    _tags = [f"{_name}-only", f"{_name}-or-later"] if "GPL" in _name else [_name]
+    _STATEMENTS[_name] += [f"SPDX-License-Identifier: {_tag}" for _tag in _tags]
 _STATEMENTS["CC-BY-4.0"].append("This work is licensed under CC BY 4.0.")
 _STATEMENTS["CC-BY-3.0"].append("This work is licensed under CC BY 3.0.")
 

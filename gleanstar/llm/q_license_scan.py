@@ -7,4 +7,5 @@ from gleanstar.llm.registry import query, table
 @query("op10_license_scan")
 def op10(spark, sf_dir):
     out = license_scan(table(spark, sf_dir, "documents"))
-    return out.withColumn("licenses", F.array_join("licenses", ",")).withColumn("dice", F.round("dice", 6))
+    out = out.withColumn("licenses", F.array_join("licenses", ",")).withColumn("families", F.array_join("families", ","))
+    return out.withColumn("dice", F.round("dice", 6))
