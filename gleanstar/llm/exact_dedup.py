@@ -1,8 +1,8 @@
 """Exact dedup by Patricia-trie owners.
 
-Every text is inserted whole, byte by byte, into a compressed radix trie below its
-64-bit content hash; a terminal node keeps the smallest identifier and the number of
-texts that ended there. Tries are built twice:
+Every text is inserted whole, byte by byte, into a compressed radix trie over the texts
+themselves, so common beginnings are stored once; a terminal node keeps the smallest
+identifier and the number of texts that ended there. Tries are built twice:
 
 1. in the task that reads the rows, so that copies meet before the shuffle and one text
    leaves a task once, however many copies it has (a hot group costs one row per task);
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,8 +108,10 @@ _GROUPS = pa.schema([("digest", pa.string()), ("ident", pa.int64()), ("group_siz
 OUT_BYTES = 4 * 1024 * 1024
 
 
-def _key(hash_: int, text: bytes) -> bytes:
-    return (hash_ & (2**64 - 1)).to_bytes(8, "big") + text
+def content_hash(text: bytes) -> int:
+    """As Spark's xxhash64 of the text."""
+    h = xxhash.xxh64_intdigest(text, 42)
+    return h - (h >> 63 << 64)
 
 
 def _rows_out(ends, schema, row):
@@ -128,14 +131,13 @@ def local_tries(limit: int):
     """Texts of a task's rows once each, with smallest id and count."""
 
     def row(key, value):
-        return len(key) - 8, int.from_bytes(key[:8], "big", signed=True), key[8:], *value
+        return len(key), content_hash(key), key, *value
 
     def run(batches):
         trie = PatriciaTrie()
         for batch in batches:
-            columns = [batch.column(i) for i in range(3)]
-            for hash_, text, ident in zip(columns[0].to_pylist(), columns[1], columns[2].to_pylist(), strict=True):
-                trie.insert(_key(hash_, text.as_buffer().to_pybytes()), (ident, 1))
+            for text, ident in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                trie.insert(text.as_buffer().to_pybytes(), (ident, 1))
                 while trie.size > limit:
                     yield from _rows_out(trie.spill(), _TEXTS, row)
         yield from _rows_out(trie.walk(), _TEXTS, row)
@@ -144,10 +146,10 @@ def local_tries(limit: int):
 
 
 def owner_tries(limit: int):
-    """One row per distinct text, from rows sorted by length and hash."""
+    """One row per distinct text, from rows sorted by length and hash: texts of one length share a trie."""
 
     def row(key, value):
-        return hashlib.sha256(key[8:]).hexdigest(), *value
+        return hashlib.sha256(key).hexdigest(), *value
 
     def run(batches):
         trie, at = PatriciaTrie(), None
@@ -160,7 +162,7 @@ def owner_tries(limit: int):
                         for top in list(trie.sizes):
                             yield from _rows_out(trie.spill(top), _GROUPS, row)
                     at = (length, hash_)
-                trie.insert(_key(hash_, text.as_buffer().to_pybytes()), (ident, n))
+                trie.insert(text.as_buffer().to_pybytes(), (ident, n))
         yield from _rows_out(trie.walk(), _GROUPS, row)
 
     return run
@@ -172,7 +174,6 @@ def text_groups(docs: DataFrame, id_col: str, text_col: str, largest: bool, limi
     ident = F.col(id_col).cast("long")
     text = text_or_empty(text_col)
     read = docs.select(
-        F.xxhash64(text).alias("hash"),
         text.cast("binary").alias("text"),
         # the bitwise complement reverses the order, so the smallest is the largest id
         (F.bitwise_not(ident) if largest else ident).alias("ident"),

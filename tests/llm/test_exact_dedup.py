@@ -57,7 +57,28 @@ def test_drop_copies_keeps_columns(odd_documents):
 
 def test_hot_group_leaves_each_task_once(spark):
     docs = spark.range(0, 4000, 1, 8).selectExpr("id as doc_id", "if(id % 3 = 0, 'same', concat('t', id)) as text")
-    read = docs.selectExpr("xxhash64(text) as hash", "cast(text as binary) as text", "doc_id as ident")
+    read = docs.selectExpr("cast(text as binary) as text", "doc_id as ident")
     local = read.mapInArrow(ed.local_tries(ed.TRIE_BYTES), "length long, hash long, text binary, ident long, n long")
     assert local.filter("length = 4 and text = cast('same' as binary)").count() == 8
     assert {r.keep_id for r in ed.exact_dedup(docs, keep="largest").filter("group_size > 1").collect()} == {3999}
+
+
+def test_common_beginnings_are_inner_nodes():
+    """Texts of one length are told apart within their bytes, not by a hash before them."""
+    trie = ed.PatriciaTrie()
+    texts = [b"the same long beginning of %d " % (i // 10) + b"end %04d" % i for i in range(500)]
+    for i, text in enumerate(texts):
+        trie.insert(text, (i, 1))
+    stack, inner, held = [trie.root], 0, 0
+    while stack:
+        node = stack.pop()
+        inner += len(node.children) > 1
+        held += len(node.label)
+        stack += node.children.values()
+    assert inner > 50 and held < sum(map(len, texts)) / 4
+
+
+def test_hash_is_that_of_spark(spark):
+    texts = ["", "a", "ünï" * 40, "x" * 1000]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "xxhash64(t) as h").collect()
+    assert all(ed.content_hash(r.t.encode()) == r.h for r in got)
