@@ -37,10 +37,13 @@ from gleanstar.llm.rows import as_batch, blocks, configure_batches, hashed_words
 from gleanstar.session import stage
 
 ORDER = 3
-CUTOFF = 2
+# n-grams met less often would be left out; 1 keeps all.
+CUTOFF = 1
 DISCOUNT = 0.75
 # n-grams a task holds before it sends them on.
-HELD = 4_000_000
+HELD = 2_000_000
+# n-grams a shard holds at most, by the number of tokens that are counted.
+SHARD = 2_000_000
 # The end of a text is a word of its own.
 END = np.uint64(0x9E3779B97F4A7C15)
 _ABSENT = np.uint32(2**32 - 1)
@@ -51,9 +54,10 @@ _BUILT = pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n", pa.int64
 _BUILT_DDL = "shard int, file string, n long, total long"
 
 
-def n_shards(docs: DataFrame) -> int:
-    """Shards of each level, in proportion to the shuffle partitions the session sets."""
-    return max(1, shuffle_partitions(docs) // 4)
+def n_shards(docs: DataFrame, tokens: int = 0) -> int:
+    """Shards of a level: in proportion to the shuffle partitions the session sets, and so many
+    that none has more than SHARD different n-grams, of which there are no more than tokens."""
+    return max(1, shuffle_partitions(docs) // 4, -(-tokens // SHARD))
 
 
 def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -355,7 +359,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, order: int, cutoff: int,
     out = F.coalesce(remainder(id_col, folds) == held, F.lit(False))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), out.alias("held_out"), text_or_empty(text_col).alias("text"))
 
-    def level(found: DataFrame, find_keys, split, arrays, stem: str) -> Shards:
+    def level(found: DataFrame, find_keys, split, arrays, stem: str, shards: int) -> Shards:
         """Count and build; the manifest has one row per shard."""
         counted = found.mapInArrow(counting(find_keys, split), _SENT_DDL)
         by_shard = counted.repartition(shuffle_partitions(docs), "shard").sortWithinPartitions("shard")
@@ -366,7 +370,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, order: int, cutoff: int,
         for _, part, at in blocks(data, offsets):
             yield _with_end(*hashed_words(part, at))[0]
 
-    counted = level(rows.filter("not held_out").select("text"), word_keys, Words.split(shards), Words.build, "words")
+    counted = level(rows.filter("not held_out").select("text"), word_keys, Words.split(shards), Words.build, "words", shards)
     trie = Trie(Words(counted))
 
     def to_numbers(batches):
@@ -383,6 +387,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, order: int, cutoff: int,
     numbered = stage(rows.mapInArrow(to_numbers, "id long, held_out boolean, numbers binary"), "word_numbers")
     contexts = trie.words.size + 1
     words = trie.words.size + 1
+    shards = n_shards(docs, counted.total)
     for k in range(2, order + 1):
 
         def keys(batch):
@@ -393,7 +398,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, order: int, cutoff: int,
 
         texts = numbered.filter("not held_out").select("numbers")
         arrays = Level.build(max(contexts, 1), shards, words, cutoff, discount)
-        found = level(texts, keys, Level.split(max(contexts, 1), shards, words), arrays, f"level{k}")
+        found = level(texts, keys, Level.split(max(contexts, 1), shards, words), arrays, f"level{k}", shards)
         trie.levels.append(Level(found, max(contexts, 1)))
         contexts = found.nodes
     return trie, counted.total, numbered
