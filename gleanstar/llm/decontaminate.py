@@ -7,10 +7,12 @@ the documents (for whole containment the necessary prefix is one token); the bou
 the position then fix where in the document the window would begin and end, and the
 remaining shingles verify it there.
 
-The documents are read once for this: positions whose shingle occurs in any item are
-kept and stored; rarity is counted on these, for all documents. The items' shingles are
-broadcast while their number is within BROADCAST_ROWS, else both sides are shuffled by the shingle
-(then AQE splits frequent ones). Shingles are found by a 64-bit hash and compared word by word.
+Positions of the documents whose shingle occurs in any item are kept and stored first (a
+scan of the documents per length of shingle that the items have, three at most); rarity is
+counted on these, for all documents, and the prefix is chosen from it. The items' shingles are
+broadcast while their number is within BROADCAST_ROWS, else both sides are shuffled by the
+shingle (then AQE splits frequent ones). Shingles are found by a 64-bit hash and compared
+word by word.
 """
 
 from __future__ import annotations
@@ -94,7 +96,6 @@ def find_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     small = sum(counts.values()) <= BROADCAST_ROWS
     if not counts:
         return docs.sparkSession.createDataFrame([], "id long, h long, start int, length int, window string")
-    # the document's rows once each
     met = stage(matched_positions(docs, shingles, sorted(counts), small), "matched_positions")
     rarity = met.groupBy("s").agg(F.count("*").alias("n"))
     keyed = shingles.select("window", "length", "at", "k", shingle_hash(F.col("a"), F.col("b"), F.col("c")).alias("s"))

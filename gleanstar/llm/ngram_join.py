@@ -12,8 +12,9 @@ size class). Sets linked through probed lists form blocks. Nothing is dropped: e
 pair that reaches the threshold lies in one block.
 
 Within a block, DivideSkip: the T - 1 or fewer longest lists are set aside, the short ones
-are merged, and candidates met often enough are looked up in the long lists by binary search
-until they reach or can no longer reach the overlap. Candidates already linked with the
+are laid one after another and counted (in place of a heap merge, as arrays), and for
+candidates met often enough the set-aside shingles are searched in the candidate's sorted
+set, until they reach or can no longer reach the overlap. Candidates already linked with the
 query are skipped, so a group of near copies costs one link a set rather than all pairs.
 A block that is larger than a slice is cut into slices of bounded number and bytes, and no
 task holds more than two: each slice is searched by itself, one set of each component found
