@@ -3,16 +3,20 @@
 A window is `size` consecutive words of a benchmark item (a shorter item is one window).
 It occurs in a document if and only if all its shingles of up to SHINGLE words do, at
 consecutive positions. So each window needs only one shingle to be met, its rarest in
-the documents (for whole containment the necessary prefix is one token); the bounds of
-the position then fix where in the document the window would begin and end, and the
-remaining shingles verify it there.
-
-Positions of the documents whose shingle occurs in any item are kept and stored first (a
-scan of the documents per length of shingle that the items have, three at most); rarity is
-counted on these, for all documents, and the prefix is chosen from it. The items' shingles are
-broadcast while their number is within BROADCAST_ROWS, else both sides are shuffled by the
-shingle (then AQE splits frequent ones). Shingles are found by a 64-bit hash and compared
-word by word.
+the documents (for whole containment the necessary prefix is one token).
+
+1. Rarity: the documents' shingles are hashed and those of items counted; the counts are
+   added up in the tasks, so the shuffle has a row per item shingle and task.
+2. Prefix: each window keeps its rarest shingle; one with a shingle that no document holds
+   occurs nowhere.
+3. Join: document positions meet these prefixes only. The bounds of the position then fix
+   where the window would begin and end within the text.
+4. Verification: the words of that part of the document are compared with the window's. A
+   window that is one shingle is compared as it is met; longer ones go back to the texts of
+   the documents that have candidates.
+
+The optimizer decides from the sizes of the stored tables which sides are small enough to be
+broadcast; beyond, both are shuffled by the shingle, and AQE splits frequent ones.
 """
 
 from __future__ import annotations
@@ -25,8 +29,6 @@ from gleanstar.session import stage
 
 WINDOW = 10
 SHINGLE = 3
-# Item shingles (some 100 bytes each) that are sent to all executors.
-BROADCAST_ROWS = 500_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Everything in ASCII but digits and lower-case letters ends a word.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -64,69 +66,70 @@ def window_shingles(windows: DataFrame) -> DataFrame:
     return placed.select("window", "length", "at", "k", *[word(j) for j in range(SHINGLE)])
 
 
-def matched_positions(docs: DataFrame, shingles: DataFrame, sizes: list[int], small: bool) -> DataFrame:
-    """Positions of the documents at which a shingle of an item stands: id, h, pos, s."""
-    keys = shingles.select("k", "a", "b", "c").distinct()
-    # the blank parts of shorter shingles keep the hashes of all lengths apart
-    keys = keys.select(shingle_hash(F.col("a"), F.col("b"), F.col("c")).alias("s"), "a", "b", "c")
-    keys = F.broadcast(keys) if small else keys
-    out = None
-    for k in sizes:
-        w = F.col("w")
-        n = F.size("w")
-        parts = [w, *[F.slice(w, F.lit(j + 1), n) for j in range(1, k)]]
-        rows = docs.select("id", "h", F.posexplode(F.arrays_zip(*[p.alias("abc"[j]) for j, p in enumerate(parts)])).alias("pos", "x"))
-        column = [F.col(f"x.{'abc'[j]}") if j < k else F.lit("") for j in range(SHINGLE)]
-        rows = rows.select("id", "h", "pos", *[c.alias(f"_{'abc'[j]}") for j, c in enumerate(column)])
-        rows = rows.filter(F.col(f"_{'abc'[k - 1]}").isNotNull())
-        rows = rows.withColumn("t", shingle_hash(F.col("_a"), F.col("_b"), F.col("_c")))
-        same = (F.col("t") == F.col("s")) & (F.col("_a") == F.col("a")) & (F.col("_b") == F.col("b")) & (F.col("_c") == F.col("c"))
-        part = rows.join(keys, same).select("id", "h", "pos", "s")
-        out = part if out is None else out.union(part)
-    return out
+def shingle_positions(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """Shingles of the documents: id, h, pos, n (words of the text), s, a, b, c.
+
+    docs: id, h, text; sizes: the lengths of shingles that items have."""
+    w = F.col("w")
+    longest = max(sizes)
+    parts = [w, *[F.slice(w, F.lit(j + 1), F.size(w)) for j in range(1, longest)]]
+    split = docs.select("id", "h", words(F.col("text")).alias("w"))
+    zipped = F.arrays_zip(*[p.alias("abc"[j]) for j, p in enumerate(parts)])
+    rows = split.select("id", "h", F.size("w").alias("n"), F.posexplode(zipped).alias("pos", "x"))
+
+    def shingle(k: int) -> Column:
+        # the blank parts of shorter shingles keep the hashes of all lengths apart
+        abc = [F.col(f"x.{'abc'[j]}") if j < k else F.lit("") for j in range(SHINGLE)]
+        fields = F.struct(shingle_hash(*abc).alias("s"), *[c.alias("abc"[j]) for j, c in enumerate(abc)])
+        return F.when(F.col(f"x.{'abc'[k - 1]}").isNotNull(), fields)
+
+    one = shingle(sizes[0]) if len(sizes) == 1 else F.explode(F.array(*[shingle(k) for k in sizes]))
+    return rows.select("id", "h", "pos", "n", one.alias("y")).filter("y is not null").select("id", "h", "pos", "n", "y.*")
+
+
+def window_prefixes(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
+    """The rarest shingle of each window all of whose shingles occur in the documents: window,
+    length, at, k, s, a, b, c. shingles (stored): as of `window_shingles`, with their hash s."""
+    asked = stage(shingles.select("s").distinct(), "item_shingles")
+    rarity = shingle_positions(docs, sizes).select("s").join(asked, "s", "left_semi").groupBy("s").agg(F.count("*").alias("n"))
+    rarity = stage(rarity, "shingle_rarity")
+    ranked = shingles.join(rarity, "s", "left")
+    ranked = ranked.select("window", "length", "k", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "s", "a", "b", "c").alias("r"))
+    first = ranked.groupBy("window", "length", "k").agg(F.min("r").alias("r")).filter("r.n > 0")
+    return first.select("window", "length", "k", "r.at", "r.s", "r.a", "r.b", "r.c")
 
 
 def find_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """Occurrences of windows: id, h, start (position of the first word), length, window.
 
-    docs: id, h, w (words). Runs when it is called."""
-    shingles = window_shingles(windows)
-    # at most SHINGLE sizes, and one number
-    counts = {r["k"]: r["n"] for r in shingles.groupBy("k").agg(F.count("*").alias("n")).collect()}
-    small = sum(counts.values()) <= BROADCAST_ROWS
-    if not counts:
+    docs: id, h, text. Rows that repeat an id and a text repeat their occurrences. Runs when
+    it is called."""
+    shingles = window_shingles(windows).withColumn("s", shingle_hash(F.col("a"), F.col("b"), F.col("c")))
+    shingles = stage(shingles, "window_shingles")
+    # at most SHINGLE numbers
+    sizes = sorted(r["k"] for r in shingles.select("k").distinct().collect())
+    if not sizes:
         return docs.sparkSession.createDataFrame([], "id long, h long, start int, length int, window string")
-    met = stage(matched_positions(docs, shingles, sorted(counts), small), "matched_positions")
-    rarity = met.groupBy("s").agg(F.count("*").alias("n"))
-    keyed = shingles.select("window", "length", "at", "k", shingle_hash(F.col("a"), F.col("b"), F.col("c")).alias("s"))
-    ranked = keyed.join(rarity, "s", "left").select("window", "length", "k", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "s").alias("r"))
-    # a window with a shingle that no document holds occurs nowhere
-    first = ranked.groupBy("window", "length", "k").agg(F.min("r").alias("r")).filter("r.n > 0")
-    first = first.select("window", "length", "k", "r.at", "r.s")
-    first = F.broadcast(first) if small else first
-    # positional bound: the window begins at or after the text's first word
-    started = met.join(first, "s").select("id", "h", (F.col("pos") - F.col("at")).alias("start"), "window", "length", "k")
-    started = started.filter("start >= 0")
-    rest = keyed.select("window", "at", "s")
-    rest = F.broadcast(rest) if small else rest
-    wanted = started.join(rest, "window").select("id", "h", "start", "length", "k", "window", (F.col("start") + F.col("at")).alias("pos"), "s")
-    there = met.select(F.col("id").alias("i"), F.col("h").alias("t"), F.col("pos").alias("p"), F.col("s").alias("u")).distinct()
-    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("t")) & (F.col("pos") == F.col("p")) & (F.col("s") == F.col("u"))
-    verified = wanted.distinct().join(there, same, "left_semi")
-    # length bound: all shingles stand where they must
-    return (
-        verified.groupBy("id", "h", "start", "length", "k", "window")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") == F.col("length") - F.col("k") + 1)
-        .select("id", "h", "start", "length", "window")
-    )
+    prefixes = stage(window_prefixes(docs, shingles, sizes), "window_prefixes").withColumnsRenamed({c: f"_{c}" for c in "sabc"})
+    same = (F.col("s") == F.col("_s")) & (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")) & (F.col("c") == F.col("_c"))
+    start = F.col("pos") - F.col("at")
+    # bounds of position and length: the window lies within the text
+    placed = shingle_positions(docs, sizes).join(prefixes, same).filter((start >= 0) & (start + F.col("length") <= F.col("n")))
+    met = stage(placed.select("id", "h", start.alias("start"), "length", "k", "window"), "window_candidates")
+    whole = met.filter("length = k").select("id", "h", "start", "length", "window")
+    open_ = met.filter("length > k").groupBy(F.col("id").alias("i"), F.col("h").alias("t"))
+    open_ = stage(open_.agg(F.collect_set(F.struct("start", "length", "window")).alias("open")), "open_candidates")
+    texts = docs.join(open_, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("t")))
+    texts = texts.select("id", "h", words(F.col("text")).alias("w"), "open")
+    held = F.filter("open", lambda x: F.array_join(F.slice("w", x["start"] + 1, x["length"]), " ") == x["window"])
+    return whole.union(texts.select("id", "h", F.inline(held)))
 
 
 def contaminated_texts(
     docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, size: int
 ) -> DataFrame:
     """id, h (hash of the text), n_hit, n_items, items of the documents with occurrences."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_hash(text_col).alias("h"), words(F.col(text_col)).alias("w"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_hash(text_col).alias("h"), F.col(text_col).alias("text"))
     windows = stage(item_windows(items, item_col, item_text, size), "item_windows")
     found = stage(find_windows(rows, windows), "window_occurrences")
     hit = found.select("id", "h", F.explode(F.expr("sequence(start, start + length - 1)")).alias("pos")).distinct()

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleanstar.llm import decontaminate as dc
 from gleanstar.llm.registry import table
@@ -59,11 +60,46 @@ def items(spark):
     return spark.createDataFrame(ITEMS, "item_id long, text string")
 
 
-@pytest.mark.parametrize("bound", [dc.BROADCAST_ROWS, 0])
-def test_against_all_windows(spark, items, odd_documents, monkeypatch, bound):
-    monkeypatch.setattr(dc, "BROADCAST_ROWS", bound)
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_against_all_windows(spark, items, odd_documents, threshold):
+    """With small sides broadcast, and with both sides shuffled."""
     docs = odd_documents.select("doc_id", "text").union(spark.createDataFrame(DOCS, "doc_id long, text string"))
-    assert got(docs, items) == brute([tuple(r) for r in docs.collect()], ITEMS)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        assert got(docs, items) == brute([tuple(r) for r in docs.collect()], ITEMS)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_only_prefixes_are_joined(spark, monkeypatch):
+    """A window whose other shingles stand everywhere meets the texts with its rarest one only."""
+    frequent = "of the day in the end"
+    items = spark.createDataFrame([(1, f"{frequent} rare {frequent}")], "item_id long, text string")
+    texts = [f"{frequent} x{k} {frequent}" for k in range(50)] + [f"so {frequent} rare {frequent}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sizes = {}
+    stage = dc.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(dc, "stage", counted)
+    assert got(docs, items) == brute(list(enumerate(texts)), [(1, f"{frequent} rare {frequent}")])
+    assert sizes["window_candidates"] == sizes["window_prefixes"] == 4 and sizes["open_candidates"] == 1
+    # an item with one shingle that no text holds meets nothing
+    never = spark.createDataFrame([(1, f"{frequent} absent")], "item_id long, text string")
+    assert not any(r.contaminated for r in dc.decontaminate(docs, never).collect())
+    assert sizes["window_prefixes"] == sizes["window_candidates"] == 0
+
+
+def test_verified_by_words(spark, items, odd_documents, monkeypatch):
+    """Equal hashes of different shingles change nothing."""
+    monkeypatch.setattr(dc, "shingle_hash", lambda *parts: F.length(parts[0]).cast("long"))
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    assert got(docs, items) == brute(DOCS, ITEMS)
 
 
 @pytest.mark.parametrize("size", [1, 2, 4])
