@@ -11,11 +11,12 @@ the p of its lists that are shortest, restricted to partners that are as large o
 size class). Sets linked through probed lists form blocks. Nothing is dropped: every
 pair that reaches the threshold lies in one block.
 
-Within a block, DivideSkip: the T - 1 or fewer longest lists are set aside, the short ones
-are laid one after another and counted (in place of a heap merge, as arrays), and for
-candidates met often enough the set-aside shingles are searched in the candidate's sorted
-set, until they reach or can no longer reach the overlap. Candidates already linked with the
-query are skipped, so a group of near copies costs one link a set rather than all pairs.
+Within a block, DivideSkip: the T - 1 or fewer longest lists are set aside and the short ones
+merged by a heap, which leaps over sets that cannot be in enough of them; sets met often
+enough are looked up in the long lists by binary search, until they reach or can no longer
+reach the overlap. Sets already linked with the query, or of a size out of reach, leave the
+short lists before they are merged, so a group of near copies costs one link a set rather
+than all pairs.
 A block that is larger than a slice is cut into slices of bounded number and bytes, and no
 task holds more than two: each slice is searched by itself, one set of each component found
 is searched with those of the other slices, and then all pairs of slices are searched that
@@ -24,6 +25,9 @@ are not within one component. A family of near copies is one component by then.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from heapq import heapify, heappop, heappush
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -218,17 +222,49 @@ def probe_forest(batches):
         yield edge_batch(edges)
 
 
+def merge_skip(lists: list[list[int]], least: int):
+    """(value, number of lists that hold it) of the values of at least `least` sorted lists,
+    in order. Where the heap's first value is in too few, the lists that could not make up
+    the number move on to the first value of those left."""
+    at = [0] * len(lists)
+    heap = [(own[0], k) for k, own in enumerate(lists)]
+    heapify(heap)
+    while len(heap) >= least:
+        value = heap[0][0]
+        out = []
+        while heap and heap[0][0] == value:
+            out.append(heappop(heap)[1])
+        if len(out) >= least:
+            yield value, len(out)
+            target = value + 1
+        else:
+            out += [heappop(heap)[1] for _ in range(least - 1 - len(out))]
+            target = heap[0][0]
+        for k in out:
+            own = lists[k]
+            at[k] = bisect_left(own, target, at[k])
+            if at[k] < len(own):
+                heappush(heap, (own[at[k]], k))
+
+
+# Long lists that are probed before the overlap that is left is looked at again.
+PROBES = 32
+
+
 def divide_skip(sets: list[np.ndarray], queries, percent: int, links: UnionFind, data=None, known=None) -> None:
     """Link each query set with all sets of `data` (all sets, if not given) that reach the
     threshold, by position in `sets`; sets that are `known` to be of one component count as linked."""
     sizes = np.array([len(s) for s in sets])
-    data = np.arange(len(sets)) if data is None else np.asarray(data)
+    data = np.arange(len(sets)) if data is None else np.sort(np.asarray(data))
     owner = np.repeat(data, sizes[data])
     flat = np.concatenate([sets[k] for k in data])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     tokens, starts = np.unique(flat, return_index=True)
     ends = np.append(starts[1:], len(flat))
+    # lists one after another, each ascending: one array that any list is searched in
+    width = len(sets)
+    rows = np.repeat(np.arange(len(tokens)) * width, ends - starts) + owner
     # a set's component so far
     group = np.arange(len(sets)) if known is None else np.unique(known, return_inverse=True)[1]
     members = {}
@@ -241,32 +277,37 @@ def divide_skip(sets: list[np.ndarray], queries, percent: int, links: UnionFind,
         n = len(mine)
         least = least_overlap(n, percent)
         at = np.minimum(np.searchsorted(tokens, mine), len(tokens) - 1)
-        lengths = np.where(tokens[at] == mine, ends[at] - starts[at], 0)
-        by_length = np.argsort(lengths, kind="stable")
-        longest = int(lengths.max())
-        if not longest:
+        at = at[tokens[at] == mine]
+        if len(at) < least:
             continue
+        at = at[np.argsort(ends[at] - starts[at], kind="stable")]
+        longest = int(ends[at[-1]] - starts[at[-1]])
         n_long = min(least - 1, int(least / (MU * np.log2(longest + 1) + 1)))
-        short = by_length[: n - n_long]
-        wide = mine[by_length[n - n_long :]]
-        # the merge: every set with the number of short lists it occurs in
-        spans = lengths[short]
-        first = np.cumsum(spans) - spans
-        places = np.arange(int(spans.sum())) - np.repeat(first - starts[at[short]], spans)
-        met = np.bincount(owner[places], minlength=len(sets))
+        short, long = at[: len(at) - n_long], at[len(at) - n_long :]
         # overlap needed with a set of each size: o >= percent * (n + m) / (100 + percent)
         need = np.maximum(least, -(-percent * (n + sizes) // (100 + percent)))
-        met[(group == group[q]) | (sizes * 100 < n * percent) | (n * 100 < sizes * percent)] = 0
-        found = np.flatnonzero((met > 0) & (met + n_long >= need))
-        for c in found[np.argsort(-met[found], kind="stable")].tolist():
-            if group[c] == group[q]:
+        may = (group != group[q]) & (sizes * 100 >= n * percent) & (n * 100 >= sizes * percent)
+        spans = ends[short] - starts[short]
+        first = np.cumsum(spans) - spans
+        merged = owner[np.arange(int(spans.sum())) - np.repeat(first - starts[short], spans)]
+        left = may[merged]
+        if not left.any():
+            continue
+        counts = np.add.reduceat(left, first)
+        merged = merged[left]
+        fewest = int(need[merged].min()) - n_long
+        cut = np.cumsum(counts[counts > 0])
+        lists = [part.tolist() for part in np.split(merged, cut[:-1])]
+        for c, overlap in merge_skip(lists, max(1, fewest)):
+            if group[c] == group[q] or overlap + n_long < need[c]:
                 continue
-            overlap = int(met[c])
-            if len(wide):
-                theirs = sets[c]
-                k = np.minimum(np.searchsorted(theirs, wide), len(theirs) - 1)
-                overlap += int((theirs[k] == wide).sum())
-            if 100 * overlap >= percent * (n + int(sizes[c]) - overlap):
+            for k in range(0, n_long, PROBES):
+                if overlap >= need[c] or overlap + n_long - k < need[c]:
+                    break
+                wanted = long[k : k + PROBES] * width + c
+                found = np.minimum(np.searchsorted(rows, wanted), len(rows) - 1)
+                overlap += int((rows[found] == wanted).sum())
+            if overlap >= need[c]:
                 links.union(q, c)
                 a, b = group[q], group[c]
                 if len(members[a]) < len(members[b]):

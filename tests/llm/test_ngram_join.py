@@ -134,6 +134,42 @@ def test_near_copies_cost_no_pairs():
     assert Counting.calls == 399 and len({links.find(k) for k in range(400)}) == 1
 
 
+def test_merged_lists():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        lists = [sorted(rng.choice(40, int(rng.integers(1, 25)), replace=False).tolist()) for _ in range(int(rng.integers(1, 12)))]
+        for least in range(1, len(lists) + 2):
+            met = {v: sum(v in x for x in lists) for v in range(40)}
+            assert list(nj.merge_skip(lists, least)) == [(v, k) for v, k in met.items() if k >= least]
+
+
+def test_search_in_memory_equals_all_pairs():
+    """Families, unlike sets that share much, two-sided searches, known components."""
+    rng = np.random.default_rng(9)
+    for trial in range(60):
+        pool = rng.integers(0, 2**63, 60).astype(np.uint64)
+        sets = [np.unique(rng.choice(pool, int(rng.integers(1, 60)))) for _ in range(12)]
+        for s in list(sets):
+            sets += [np.unique(np.append(s[rng.random(len(s)) > 0.06], rng.choice(pool))) for _ in range(3)]
+        percent = (90, 80, 50)[trial % 3]
+        sides = rng.integers(0, 3, len(sets)) if trial % 2 else np.zeros(len(sets), int)
+        known = [k // 2 for k in range(len(sets))] if trial % 4 == 3 else None
+        want, links = UnionFind(), UnionFind()
+        for k in range(1, len(sets)):
+            for tree in (want, links):
+                if known and known[k] == known[k - 1]:
+                    tree.union(k, k - 1)
+        queries = [k for k, side in enumerate(sides) if side != nj.DATA]
+        data = [k for k, side in enumerate(sides) if side != nj.QUERY]
+        for a in queries:
+            for b in data:
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if a != b and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    want.union(a, b)
+        nj.divide_skip(sets, queries, percent, links, data, known)
+        assert [links.find(k) for k in range(len(sets))] == [want.find(k) for k in range(len(sets))]
+
+
 def test_components(spark):
     chain = [(bytes([k // 256, k % 256]), bytes([(k + 1) // 256, (k + 1) % 256])) for k in range(300) if k != 150]
     star = [(b"z", b"z" + bytes([k])) for k in range(50)]
