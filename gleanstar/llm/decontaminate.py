@@ -11,12 +11,13 @@ the documents (for whole containment the necessary prefix is one token).
    occurs nowhere.
 3. Join: document positions meet these prefixes only. The bounds of the position then fix
    where the window would begin and end within the text.
-4. Verification: the words of that part of the document are compared with the window's. A
-   window that is one shingle is compared as it is met; longer ones go back to the texts of
-   the documents that have candidates.
+4. Verification: the words of that part of the document are compared with the window's. Texts
+   are read in spans of SPAN words with a window's length before and after, so the words
+   are at hand where a prefix is met and no text is shuffled.
 
-The optimizer decides from the sizes of the stored tables which sides are small enough to be
-broadcast; beyond, both are shuffled by the shingle, and AQE splits frequent ones.
+The prefixes are broadcast while their number, which is counted, is within BROADCAST_ROWS. Beyond,
+positions and prefixes are shuffled by the shingle (AQE splits frequent ones) without the
+words around them, and candidates go back to the texts of their documents.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ from gleanstar.session import stage
 
 WINDOW = 10
 SHINGLE = 3
+SPAN = 64
+# Prefixes (some 200 bytes each) that are sent to all executors.
+BROADCAST_ROWS = 200_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Everything in ASCII but digits and lower-case letters ends a word.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -66,16 +70,22 @@ def window_shingles(windows: DataFrame) -> DataFrame:
     return placed.select("window", "length", "at", "k", *[word(j) for j in range(SHINGLE)])
 
 
-def shingle_positions(docs: DataFrame, sizes: list[int]) -> DataFrame:
-    """Shingles of the documents: id, h, pos, n (words of the text), s, a, b, c.
+def shingle_positions(docs: DataFrame, sizes: list[int], size: int) -> DataFrame:
+    """Shingles of the documents: id, h, pos, near (the words around it, at least `size` before
+    and after, if the text has them), i (its position in these), s, a, b, c.
 
     docs: id, h, text; sizes: the lengths of shingles that items have."""
-    w = F.col("w")
-    longest = max(sizes)
-    parts = [w, *[F.slice(w, F.lit(j + 1), F.size(w)) for j in range(1, longest)]]
-    split = docs.select("id", "h", words(F.col("text")).alias("w"))
-    zipped = F.arrays_zip(*[p.alias("abc"[j]) for j, p in enumerate(parts)])
-    rows = split.select("id", "h", F.size("w").alias("n"), F.posexplode(zipped).alias("pos", "x"))
+    w, near, lead = F.col("w"), F.col("span.near"), F.col("span.lead")
+    split = docs.select("id", "h", words(F.col("text")).alias("w")).filter(F.size("w") > 0)
+
+    def span(b: Column) -> Column:
+        before = F.least(b, F.lit(size))
+        return F.struct((b - before).alias("base"), before.alias("lead"), F.slice(w, b - before + 1, before + SPAN + size).alias("near"))
+
+    spans = split.select("id", "h", F.explode(F.transform(F.sequence(F.lit(0), F.size(w) - 1, F.lit(SPAN)), span)).alias("span"))
+    parts = [F.slice(near, lead + j + 1, F.lit(SPAN)).alias("abc"[j]) for j in range(max(sizes))]
+    rows = spans.select("id", "h", "span", F.posexplode(F.arrays_zip(*parts)).alias("p", "x"))
+    rows = rows.select("id", "h", (F.col("span.base") + lead + F.col("p")).alias("pos"), near.alias("near"), (lead + F.col("p")).alias("i"), "x")
 
     def shingle(k: int) -> Column:
         # the blank parts of shorter shingles keep the hashes of all lengths apart
@@ -84,14 +94,14 @@ def shingle_positions(docs: DataFrame, sizes: list[int]) -> DataFrame:
         return F.when(F.col(f"x.{'abc'[k - 1]}").isNotNull(), fields)
 
     one = shingle(sizes[0]) if len(sizes) == 1 else F.explode(F.array(*[shingle(k) for k in sizes]))
-    return rows.select("id", "h", "pos", "n", one.alias("y")).filter("y is not null").select("id", "h", "pos", "n", "y.*")
+    return rows.select("id", "h", "pos", "near", "i", one.alias("y")).filter("y is not null").select("id", "h", "pos", "near", "i", "y.*")
 
 
-def window_prefixes(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
+def window_prefixes(docs: DataFrame, shingles: DataFrame, sizes: list[int], size: int) -> DataFrame:
     """The rarest shingle of each window all of whose shingles occur in the documents: window,
     length, at, k, s, a, b, c. shingles (stored): as of `window_shingles`, with their hash s."""
     asked = stage(shingles.select("s").distinct(), "item_shingles")
-    rarity = shingle_positions(docs, sizes).select("s").join(asked, "s", "left_semi").groupBy("s").agg(F.count("*").alias("n"))
+    rarity = shingle_positions(docs, sizes, size).select("s").join(asked, "s", "left_semi").groupBy("s").agg(F.count("*").alias("n"))
     rarity = stage(rarity, "shingle_rarity")
     ranked = shingles.join(rarity, "s", "left")
     ranked = ranked.select("window", "length", "k", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "s", "a", "b", "c").alias("r"))
@@ -106,16 +116,24 @@ def find_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     it is called."""
     shingles = window_shingles(windows).withColumn("s", shingle_hash(F.col("a"), F.col("b"), F.col("c")))
     shingles = stage(shingles, "window_shingles")
-    # at most SHINGLE numbers
-    sizes = sorted(r["k"] for r in shingles.select("k").distinct().collect())
-    if not sizes:
+    # at most SHINGLE rows
+    lengths = {r["k"]: r["size"] for r in shingles.groupBy("k").agg(F.max("length").alias("size")).collect()}
+    if not lengths:
         return docs.sparkSession.createDataFrame([], "id long, h long, start int, length int, window string")
-    prefixes = stage(window_prefixes(docs, shingles, sizes), "window_prefixes").withColumnsRenamed({c: f"_{c}" for c in "sabc"})
+    sizes, size = sorted(lengths), max(lengths.values())
+    prefixes = stage(window_prefixes(docs, shingles, sizes, size), "window_prefixes").withColumnsRenamed({c: f"_{c}" for c in "sabc"})
     same = (F.col("s") == F.col("_s")) & (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")) & (F.col("c") == F.col("_c"))
-    start = F.col("pos") - F.col("at")
-    # bounds of position and length: the window lies within the text
-    placed = shingle_positions(docs, sizes).join(prefixes, same).filter((start >= 0) & (start + F.col("length") <= F.col("n")))
-    met = stage(placed.select("id", "h", start.alias("start"), "length", "k", "window"), "window_candidates")
+    rows = shingle_positions(docs, sizes, size)
+    # bound of the position: the window begins within the text
+    begins = F.col("pos") >= F.col("at")
+    start = (F.col("pos") - F.col("at")).alias("start")
+    if prefixes.count() <= BROADCAST_ROWS:
+        # the words end with the text, so a window that goes on beyond it differs
+        there = F.array_join(F.slice("near", F.greatest(F.col("i") - F.col("at"), F.lit(0)) + 1, F.col("length")), " ")
+        met = rows.join(F.broadcast(prefixes), same).filter(begins & (there == F.col("window")))
+        return met.select("id", "h", start, "length", "window")
+    met = stage(rows.drop("near", "i").join(prefixes, same).filter(begins).select("id", "h", start, "length", "k", "window"), "candidates")
+    # a window of one shingle is compared already
     whole = met.filter("length = k").select("id", "h", "start", "length", "window")
     open_ = met.filter("length > k").groupBy(F.col("id").alias("i"), F.col("h").alias("t"))
     open_ = stage(open_.agg(F.collect_set(F.struct("start", "length", "window")).alias("open")), "open_candidates")

@@ -60,9 +60,11 @@ def items(spark):
     return spark.createDataFrame(ITEMS, "item_id long, text string")
 
 
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_against_all_windows(spark, items, odd_documents, threshold):
-    """With small sides broadcast, and with both sides shuffled."""
+@pytest.mark.parametrize(("threshold", "bound", "span"), [("10MB", dc.BROADCAST_ROWS, dc.SPAN), ("10MB", dc.BROADCAST_ROWS, 3), ("-1", 0, 5)])
+def test_against_all_windows(spark, items, odd_documents, monkeypatch, threshold, bound, span):
+    """With prefixes broadcast, with short spans, and with both sides shuffled."""
+    monkeypatch.setattr(dc, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(dc, "SPAN", span)
     docs = odd_documents.select("doc_id", "text").union(spark.createDataFrame(DOCS, "doc_id long, text string"))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
@@ -80,6 +82,7 @@ def test_only_prefixes_are_joined(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     sizes = {}
     stage = dc.stage
+    monkeypatch.setattr(dc, "BROADCAST_ROWS", -1)
 
     def counted(df, name):
         out = stage(df, name)
@@ -88,11 +91,11 @@ def test_only_prefixes_are_joined(spark, monkeypatch):
 
     monkeypatch.setattr(dc, "stage", counted)
     assert got(docs, items) == brute(list(enumerate(texts)), [(1, f"{frequent} rare {frequent}")])
-    assert sizes["window_candidates"] == sizes["window_prefixes"] == 4 and sizes["open_candidates"] == 1
+    assert sizes["candidates"] == sizes["window_prefixes"] == 4 and sizes["open_candidates"] == 1
     # an item with one shingle that no text holds meets nothing
     never = spark.createDataFrame([(1, f"{frequent} absent")], "item_id long, text string")
     assert not any(r.contaminated for r in dc.decontaminate(docs, never).collect())
-    assert sizes["window_prefixes"] == sizes["window_candidates"] == 0
+    assert sizes["window_prefixes"] == sizes["candidates"] == 0
 
 
 def test_verified_by_words(spark, items, odd_documents, monkeypatch):
