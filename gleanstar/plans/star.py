@@ -14,19 +14,20 @@ from gleanstar.sources.tables import Warehouse
 Save = Callable[[str, DataFrame], DataFrame]
 
 
+# Each dimension from the clean tables it needs, and no others.
+DIMENSIONS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
+    "dim_date": lambda c: g.dim_date(c["orders"]),
+    "dim_product": lambda c: g.dim_product(c["products"], c["category_translation"]),
+    "dim_seller": lambda c: g.dim_seller(c["sellers"], c["order_items"], c["orders"]),
+    "dim_customer": lambda c: g.dim_customer(c["customers"], c["orders"], c["order_items"], c["products"]),
+    "data_quality_flags": lambda c: g.data_quality_flags(c["order_items"], c["orders"]),
+}
+
+
 def build_dimensions(clean: Mapping[str, DataFrame], save: Save) -> dict[str, DataFrame]:
     """Each dimension is stored before the fact needs it, so its plan stays its own and
     the fact's joins are planned by the stored sizes."""
-    c = clean
-    return {
-        "dim_date": save("dim_date", g.dim_date(c["orders"])),
-        "dim_product": save("dim_product", g.dim_product(c["products"], c["category_translation"])),
-        "dim_seller": save("dim_seller", g.dim_seller(c["sellers"], c["order_items"], c["orders"])),
-        "dim_customer": save(
-            "dim_customer", g.dim_customer(c["customers"], c["orders"], c["order_items"], c["products"])
-        ),
-        "data_quality_flags": save("data_quality_flags", g.data_quality_flags(c["order_items"], c["orders"])),
-    }
+    return {name: save(name, build(clean)) for name, build in DIMENSIONS.items()}
 
 
 def build_fact(
