@@ -196,7 +196,7 @@ def _(t):
     + " from fact",
 )
 def _(t):
-    return _saved(t, "fact_order_item_fulfillment", t.star("fact_order_item_fulfillment"))
+    return _saved(t, "fact_order_item_fulfillment", t.fact())
 
 
 @query(
