@@ -488,7 +488,7 @@ def _(t):
 )
 def _(t):
     return v.grain_null_reconcile(
-        t.kept("orders"), t.star(FACT), "order_id", "order_delivered_customer_date", "is_delivered_on_time"
+        t.kept("orders"), t.fact_rows(), "order_id", "order_delivered_customer_date", "is_delivered_on_time"
     )
 
 

@@ -248,12 +248,17 @@ def grain_null_reconcile(
     parent: DataFrame, child: DataFrame, key: str, parent_null: str, child_null: str
 ) -> DataFrame:
     """NULLs at parent grain, NULLs at child grain, child rows filled although the parent is not."""
-    empty = parent.filter(F.col(parent_null).isNull()).select(key)
-    mismatched = forbidden_in_lookup(child, F.col(child_null).isNotNull(), empty, key, "n")
-    return child.agg(F.count_if(F.col(child_null).isNull()).alias("child_nulls")).select(
-        parent.select(F.count_if(F.col(parent_null).isNull())).scalar().alias("parent_nulls"),
-        "child_nulls",
-        mismatched.scalar().alias("mismatched_rows"),
+    empty = parent.filter(F.col(parent_null).isNull()).select(key).distinct().withColumn("_empty", F.lit(True))
+    # One pass over the children: both counts per key meet the parents.
+    counts = child.groupBy(key).agg(
+        F.count_if(F.col(child_null).isNull()).alias("_nulls"), F.count(child_null).alias("_filled")
+    )
+    both = counts.join(empty, key, "left")
+    return both.agg(
+        F.coalesce(F.sum("_nulls"), F.lit(0)).alias("child_nulls"),
+        F.coalesce(F.sum(F.when(F.col("_empty"), F.col("_filled"))), F.lit(0)).alias("mismatched_rows"),
+    ).select(
+        parent.select(F.count_if(F.col(parent_null).isNull())).scalar().alias("parent_nulls"), "child_nulls", "mismatched_rows"
     )
 
 

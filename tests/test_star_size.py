@@ -73,3 +73,13 @@ def test_flags_meet_orders_without_a_second_shuffle(spark, no_auto_broadcast):
     got = g.flagged_orders(items, orders)
     assert plan(got).count("Exchange hashpartitioning") == 2
     assert rows(got, "order_id", "is_shipping_anomaly") == [(1, False), (1, True), (2, None), (4, False), (4, None)]
+
+
+def test_null_reconcile_reads_the_children_once(spark):
+    parent = spark.sql("select * from values (1, null), (2, 5), (3, null), (null, null), (3, null) as t(k, d)")
+    child = spark.sql("select * from values (1, null), (1, 7), (2, null), (3, 1), (3, 2), (null, 4), (9, null) as t(k, c)")
+    got = v.grain_null_reconcile(parent, child.hint("rebalance"), "k", "d", "c")
+    assert plan(got).count("REBALANCE_PARTITIONS") == 1
+    assert one(got) == {"parent_nulls": 4, "child_nulls": 3, "mismatched_rows": 3}
+    none = v.grain_null_reconcile(parent.limit(0), child.limit(0), "k", "d", "c")
+    assert one(none) == {"parent_nulls": 0, "child_nulls": 0, "mismatched_rows": 0}
