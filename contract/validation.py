@@ -76,7 +76,7 @@ def _(t):
 )
 def _(t):
     return v.null_profile(
-        t.star(FACT), ["customer_key", "seller_key", "product_key", "order_date_key", "data_quality_key"]
+        t.fact_rows(), ["customer_key", "seller_key", "product_key", "order_date_key", "data_quality_key"]
     )
 
 
