@@ -267,7 +267,7 @@ def _(t):
 )
 def _(t):
     no_carrier = t.kept("orders").filter(F.col("order_delivered_carrier_date").isNull())
-    return v.forbidden_in_lookup(t.star(FACT), ~F.col("is_delivered_on_time"), no_carrier, "order_id")
+    return v.forbidden_in_lookup(t.fact_rows(), ~F.col("is_delivered_on_time"), no_carrier, "order_id")
 
 
 @query(
