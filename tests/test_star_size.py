@@ -8,7 +8,8 @@ from contract.tables import FACT, Tables
 from gleanstar.operators import ranking
 from gleanstar.operators import serve as g
 from gleanstar.operators import validate as v
-from gleanstar.session import TASK_BYTES
+from gleanstar.operators.joins import lookup_join
+from gleanstar.session import TASK_BYTES, configure_star, stage
 
 SF = "/root/testdata/sf0.001"
 
@@ -83,3 +84,20 @@ def test_null_reconcile_reads_the_children_once(spark):
     assert one(got) == {"parent_nulls": 4, "child_nulls": 3, "mismatched_rows": 3}
     none = v.grain_null_reconcile(parent.limit(0), child.limit(0), "k", "d", "c")
     assert one(none) == {"parent_nulls": 0, "child_nulls": 0, "mismatched_rows": 0}
+
+
+def test_many_rows_in_a_small_file_are_not_broadcast(spark):
+    configure_star(spark)
+    items = spark.range(0, 2_000_000, 2, 8)
+
+    def joined(n):
+        dim = stage(spark.range(n).withColumn("key", F.col("id") + 1).sort("id"), "dim")
+        # small for the optimizer
+        assert dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10 << 20
+        out = lookup_join(items, dim, "id", "inner").agg(F.count("key"))
+        return out.collect()[0][0], plan(out)
+
+    found, text = joined(1_000_000)  # 24 MB of rows in a file of a few
+    assert found == 500_000 and "BroadcastHashJoin" not in text
+    found, text = joined(1_000)
+    assert found == 500 and "BroadcastHashJoin" in text
