@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,6 +94,24 @@ def staging_folder(spark: SparkSession) -> str:
     return folder
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Around a write: its plan runs once, so the files of its shuffles go when it ends, not when
+    the driver next collects its garbage. A step of many writes then needs the disk of one."""
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back.
 
@@ -103,7 +122,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(staging_folder(spark), name)
     # One file per task whatever the session says: row positions count within a file. Zstandard
     # works on heap buffers; Snappy's direct ones outlive their tasks until the heap fills.
-    df.write.option("maxRecordsPerFile", 0).option("compression", "zstd").parquet(path)
+    with shuffles_freed(spark):
+        df.write.option("maxRecordsPerFile", 0).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

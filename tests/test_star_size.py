@@ -1,5 +1,7 @@
 """What the star schema reads, shuffles and stores."""
 
+import time
+
 import pytest
 from conftest import one, plan, rows
 from pyspark.sql import functions as F
@@ -101,3 +103,20 @@ def test_many_rows_in_a_small_file_are_not_broadcast(spark):
     assert found == 500_000 and "BroadcastHashJoin" not in text
     found, text = joined(1_000)
     assert found == 500 and "BroadcastHashJoin" in text
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName() for f in (blocks.apply(i) for i in range(blocks.size())) if f.getName().startswith("shuffle_")}
+
+    before = files()
+    df = spark.range(0, 100_000, 1, 4).groupBy((F.col("id") % 5000).alias("k")).agg(F.count("*").alias("n"))
+    stored = stage(df, "counts")
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    # df is still there, so no garbage collection has taken them
+    assert not left and stored.count() == df.count() == 5000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
