@@ -19,8 +19,9 @@ short lists before they are merged, so a group of near copies costs one link a s
 than all pairs.
 A block that is larger than a slice is cut into slices of bounded number and bytes, and no
 task holds more than two: each slice is searched by itself, one set of each component found
-is searched with those of the other slices, and then all pairs of slices are searched that
-are not within one component. A family of near copies is one component by then.
+is searched with those of the other slices, and then all pairs of slices are searched whose
+sizes are within reach and that are not within one component. A family of near copies is one
+component by then.
 """
 
 from __future__ import annotations
@@ -370,6 +371,11 @@ def _least(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
 
+def size_class(n: Column, percent: int) -> Column:
+    """Linked sets are of the same class or of two classes beside each other."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent + 0.001)))
+
+
 def row_key(id_: Column, h: Column) -> Column:
     """Names a row; rows with an id come first, by their id."""
     return F.struct(id_.isNull().alias("no_id"), F.coalesce(id_, F.lit(0).cast("long")).alias("id"), h.alias("h"))
@@ -411,26 +417,25 @@ def by_themselves(sets: DataFrame) -> DataFrame:
     return sets.select("block", part.alias("left"), part.alias("right"), F.lit(BOTH).alias("side"), "s", F.col("s").alias("component"), "raw")
 
 
-def across(sets: DataFrame, named: DataFrame) -> DataFrame:
-    """All pairs of slices of a block but those within one component.
+def across(sets: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """All pairs of slices of a block that can hold links, but those within one component.
 
-    named: block, s, n, component. A component of more than a slice has its own slices, so
+    named: block, s, n, component. A slice holds sets of one size class, so it is searched with
+    those of the classes beside it only. A component of more than a slice has its own slices, so
     pairs of these need no search; the sets of all other components of a block share slices."""
-    own = named.groupBy("block", "component").agg(n_slices().alias("k"), F.count("*").alias("sets"), F.sum("n").alias("n"))
-    own = stage(own, "slices_of_components")
-    wide = own.filter("k > 1").select("block", "component", "k")
-    rest = own.filter("k = 1").groupBy("block")
-    rest = rest.agg(F.ceil(F.greatest(F.sum("sets") / SLICE, F.sum("n") * 8 / SLICE_BYTES)).alias("rest"))
-    place = named.join(wide, ["block", "component"], "left").join(rest, "block", "left")
-    part = F.pmod(F.xxhash64("s"), F.coalesce("k", "rest"))
-    name = lambda owner, part: F.concat_ws("/", F.hex(owner), part)
-    place = place.select("s", "component", name(F.when(F.col("k").isNotNull(), F.col("component")), part).alias("slice"))
-    numbers = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1)).alias("part")
-    slices = wide.select("block", F.col("component").alias("owner"), numbers("k"))
-    slices = slices.union(rest.select("block", F.lit(None).cast("binary"), numbers("rest")))
-    slices = slices.select("block", "owner", name(F.col("owner"), F.col("part")).alias("left"))
-    other = slices.select("block", F.col("owner").alias("other"), F.col("left").alias("right"))
-    pairs = slices.join(other, "block").filter("left <= right and (owner = other) is not true")
+    wide = named.groupBy("block", "component").agg(n_slices().alias("k")).filter("k > 1")
+    wide = wide.select("block", "component", F.col("component").alias("owner"))
+    place = named.join(wide, ["block", "component"], "left").withColumn("owner", F.coalesce("owner", F.unhex(F.lit(""))))
+    place = place.withColumn("size", size_class(F.col("n"), percent))
+    own = stage(place.groupBy("block", "owner", "size").agg(n_slices().alias("k")), "slices_of_components")
+    name = lambda part: F.concat_ws("/", F.hex("owner"), "size", part)
+    part = F.pmod(F.xxhash64("s"), F.col("k"))
+    place = place.join(own, ["block", "owner", "size"]).select("s", "component", name(part).alias("slice"))
+    numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("part")
+    slices = own.select("block", "owner", "size", numbers).select("block", "owner", "size", name(F.col("part")).alias("left"))
+    beside = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size")
+    other = slices.select("block", F.col("owner").alias("other"), beside, F.col("left").alias("right"))
+    pairs = slices.join(other, ["block", "size"]).filter("left <= right and not (owner = other and owner <> x'')")
     pairs = stage(pairs.select("block", "left", "right"), "slice_pairs")
     placed = sets.select("block", "s", "raw").join(place, "s")
     side = F.when(F.col("left") == F.col("right"), BOTH).otherwise(QUERY).alias("side")
@@ -462,7 +467,7 @@ def links_in_blocks(sets: DataFrame, percent: int) -> DataFrame:
         again = large.drop("slices").join(heads.select("s"), "s", "left_semi").join(slices, "block")
         found = stage(found.union(searched(by_themselves(again), percent)), "links")
         before = now
-    return found.union(searched(across(large, named), percent))
+    return found.union(searched(across(large, named, percent), percent))
 
 
 def links_between_sets(rows: DataFrame, found: DataFrame, words: int, percent: int, reach: int) -> DataFrame:
@@ -483,7 +488,7 @@ def links_between_sets(rows: DataFrame, found: DataFrame, words: int, percent: i
     active = active.select(
         "s",
         "n",
-        F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent + 0.001))).alias("size"),
+        size_class(F.col("n"), percent).alias("size"),
         F.transform("lists", lambda x: x["token"]).alias("tokens"),
         F.greatest(F.lit(0), F.col("p") - alone).cast("int").alias("probes"),
     )

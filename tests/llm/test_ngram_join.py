@@ -98,6 +98,29 @@ def test_no_task_gets_a_whole_family(spark, monkeypatch):
         assert len(per_task) > 10 and max(per_task) < 4 * 40 and sum(per_task) < 3 * 400
 
 
+def test_slices_out_of_reach_by_size_do_not_meet(spark, monkeypatch):
+    """Overlapping texts of 40 to 330 words: one block, of which each size meets its neighbours."""
+    rng = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(700)]
+    texts = []
+    for i in range(192):
+        n = int(40 * 1.1 ** (i // 8))
+        start = int(rng.integers(0, 700 - n))
+        texts.append(" ".join(words[start : start + n]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sent = []
+    searched = nj.searched
+
+    def counted(rows, percent):
+        sent.append(rows.count())
+        return searched(rows, percent)
+
+    monkeypatch.setattr(nj, "searched", counted)
+    monkeypatch.setattr(nj, "SLICE", 5)
+    assert got(df) == brute(list(enumerate(texts)))
+    assert len(sent) > 1 and sent[-1] < 192 * 12, sent
+
+
 def test_on_odd_rows(odd_documents):
     assert got(odd_documents) == brute([(r.doc_id, r.text) for r in odd_documents.collect()])
     assert nj.ngram_jaccard_join(odd_documents.limit(0)).count() == 0
